@@ -16,9 +16,11 @@ SEPARATORS = {
 
 
 def tokens(c: ColumnLike, mode: str = "space") -> Column:
-    """Words of a line. ``space`` keeps the empty words between adjacent spaces."""
-    words = F.split(_col(c), SEPARATORS[mode])
-    return words if mode == "space" else F.filter(words, lambda w: w != "")
+    """The pieces between separators, the empty ones included.
+
+    Empty words count in the ``space`` dialect; the other two drop them once exploded.
+    """
+    return F.split(_col(c), SEPARATORS[mode])
 
 
 def characters(c: ColumnLike) -> Column:
@@ -26,9 +28,6 @@ def characters(c: ColumnLike) -> Column:
     return F.split(F.replace(_col(c), F.lit(" "), F.lit("")), "")
 
 
-def word_tokens(c: ColumnLike, stop_words: list[str] | None = None) -> Column:
-    """Lower-cased runs of word characters, without stop words."""
-    words = F.filter(F.split(F.lower(_col(c)), "\\W"), lambda w: w != "")
-    if not stop_words:
-        return words
-    return F.filter(words, lambda w: ~w.isin(stop_words))
+def word_tokens(c: ColumnLike) -> Column:
+    """Lower-cased pieces between characters that belong to no word, the empty ones included."""
+    return F.split(F.lower(_col(c)), "\\W")

@@ -5,7 +5,7 @@ intermediate table has a known size, and the planner broadcasts it below
 ``spark.sql.autoBroadcastJoinThreshold``; anything else is a shuffled join whose
 hot partitions adaptive execution splits. ``broadcast_if_small`` serves the one
 case the planner cannot see, a side computed from an aggregate or a filter, and it
-counts the rows first.
+measures the side first.
 """
 
 from __future__ import annotations
@@ -15,12 +15,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.lineage import materialise
+
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 2**20
+
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark for broadcast only when both the rows and their size as text stay within bounds.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only when a count, stopped early, stays within the bound."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    Measuring stops soon after ``max_rows``; a larger side is left to a shuffled join.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, bytes_ = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if rows <= max_rows and (bytes_ or 0) <= max_bytes else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, take: dict[str, str]) -> DataFrame:
@@ -50,9 +58,10 @@ def join_dim(
 def lookup_few(few: DataFrame, dim: DataFrame, key: str, dim_key: str, take: dict[str, str]) -> DataFrame:
     """``lookup`` for a short list (a top-n report) against a table of any size.
 
-    The list is broadcast to a single scan of the table, which keeps the matching
-    rows only; the table itself is never shuffled.
+    The list is worked out once and broadcast to a single scan of the table, which
+    keeps the matching rows only; the table itself is never shuffled.
     """
+    few = materialise(few, "few")
     side = dim.select(F.col(dim_key).alias(key), *[F.col(c).alias(name) for c, name in take.items()])
     found = side.join(F.broadcast(few.select(key).distinct()), key, "left_semi")
     return few.join(found, key, "left")

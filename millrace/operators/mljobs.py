@@ -28,6 +28,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,16 +55,20 @@ def reduce_features(cols: list[str], k: int = 5, output: str = "features") -> Pi
     )
 
 
+def label_index(df: DataFrame, col: str, name: str) -> DataFrame:
+    """The labels of a column numbered from 0 by falling frequency, ties in alphabetical order."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = number_rows(counts, [F.desc("_n"), F.col(col).asc()], "_row")
+    return materialise(numbered.select(col, (F.col("_row") - 1).cast("bigint").alias(name)), "index")
+
+
 def index_label(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Number the labels from 0 by falling frequency, ties in alphabetical order.
+    """Add the number of each row's label.
 
     The numbering is a table that is joined back, so there may be as many labels as
     there are users; null labels stay without a number.
     """
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = number_rows(counts, [F.desc("_n"), F.col(col).asc()], "_row")
-    index = materialise(numbered.select(col, (F.col("_row") - 1).cast("bigint").alias(name)), "index")
-    return lookup(df, index, col, col, {name: name})
+    return lookup(df, label_index(df, col, name), col, col, {name: name})
 
 
 def _words(text: str, extra_stop_words: list[str], keep_default: bool) -> list:
@@ -110,17 +115,34 @@ def tf_idf(
     )
 
 
+def vector_totals(df: DataFrame, features: str = "features") -> list[tuple[int, float]]:
+    """Per vector element how many rows have it and its sum, as many pairs as the vectors are long."""
+    summary = Summarizer.metrics("numNonZeros", "sum").summary(F.col(features)).alias("s")
+    row = df.select(summary).select("s.numNonZeros", "s.sum").first()
+    return [(round(n), float(total)) for n, total in zip(row[0].toArray(), row[1].toArray())]
+
+
 def vocabulary(
     df: DataFrame,
-    key: str,
     text: str,
     vocab_size: int = 10000,
     min_df: int = 5,
     stop_words: list[str] = STOP_WORDS,
 ) -> DataFrame:
-    """The words ``bag_of_words`` counts, with their number of texts and of occurrences."""
-    words = df.select(key, F.explode(word_tokens(text, stop_words)).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("n_texts"))
+    """The words ``bag_of_words`` counts, with their number of texts and of occurrences.
+
+    Each text is exploded twice, with all its words and with the distinct ones, so
+    that both numbers come from one shuffle of partial sums.
+    """
+    words = df.select(word_tokens(text).alias("_all")).select(
+        F.posexplode(F.array("_all", F.array_distinct("_all"))).alias("_kind", "_words")
+    )
+    kept = words.select("_kind", F.explode("_words").alias("word")).filter(
+        (F.col("word") != "") & ~F.col("word").isin(stop_words)
+    )
+    counts = kept.groupBy("word").agg(
+        F.count_if(F.col("_kind") == 0).alias("n"), F.count_if(F.col("_kind") == 1).alias("n_texts")
+    )
     return counts.filter(F.col("n_texts") >= min_df).orderBy(F.desc("n"), "word").limit(vocab_size)
 
 

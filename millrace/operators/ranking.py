@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import key_hash
-from millrace.operators.ordered import number_rows, value_steps
+from millrace.lineage import materialise
+from millrace.operators.ordered import value_steps
 
 
 def ordered(df: DataFrame, cols: list[str | Column], tie_break: list[str]) -> DataFrame:
@@ -67,9 +68,27 @@ def top_confident(
 
 
 def number_in_class(df: DataFrame, label: str, key: str, seed: int | str, name: str = "row") -> DataFrame:
-    """Number the rows of each class in a random but repeatable order of the unique key."""
-    hashed = df.withColumn("_hash", key_hash(key, seed))
-    return number_rows(hashed, [F.col("_hash"), F.col(key)], name, [label]).drop("_hash")
+    """Number the rows of each class in a random but repeatable order of the unique key.
+
+    The order is that of the keys' hashes. Rows are numbered within each class and
+    16-bit hash prefix, on top of the count of the prefixes before, so that a class of
+    any size is spread over many tasks.
+    """
+    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_prefix", F.substring("_hash", 1, 4))
+    counts = hashed.groupBy(F.col(label).alias("_label"), F.col("_prefix").alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    before = Window.partitionBy("_label").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialise(  # at most 65536 rows a class
+        counts.select("_label", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets"
+    )
+    row = F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_hash", key))
+    same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_part"))
+    return (
+        hashed.withColumn("_row", row)
+        .join(offsets, same)
+        .select(*df.columns, (F.col("_row") + F.col("_before")).alias(name))
+    )
 
 
 def ecdf(df: DataFrame, col: str) -> DataFrame:

@@ -7,12 +7,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.lineage import shared_dir
-from millrace.operators.mljobs import index_label
+from millrace.operators.joins import lookup
+from millrace.operators.mljobs import label_index
 
 
 def index_pairs(df: DataFrame, user: str, item: str, user_index: str, item_index: str) -> DataFrame:
-    """Add contiguous integer ids for users and items, the busiest first."""
-    return index_label(index_label(df, user, user_index), item, item_index)
+    """Add contiguous integer ids for users and items, the busiest first.
+
+    ``df`` is read three times, so it should come from storage.
+    """
+    indexed = df
+    for col, name in ((user, user_index), (item, item_index)):
+        index = label_index(df.select(col), col, name).withColumn(name, F.col(name).cast("int"))
+        indexed = lookup(indexed, index, col, col, {name: name})
+    return indexed
 
 
 def fit_als(

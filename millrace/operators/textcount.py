@@ -19,7 +19,8 @@ def _count(items: DataFrame, col: str) -> DataFrame:
 
 def word_count(lines: DataFrame, mode: str = "space", col: str = "value") -> DataFrame:
     """Words and how often they occur, in one of the three dialects."""
-    return _count(lines.select(F.explode(tokens(col, mode)).alias("word")), "word")
+    words = lines.select(F.explode(tokens(col, mode)).alias("word"))
+    return _count(words if mode == "space" else words.filter(F.col("word") != ""), "word")
 
 
 def line_count(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import hash_below
+from millrace.functions.columns import hash_below, hash_threshold
 from millrace.lineage import materialise
 from millrace.operators import mljobs as L
 from millrace.operators import recommend as R
@@ -16,9 +16,10 @@ from millrace.operators import sampling as X
 from millrace.operators.joins import union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import FEATURES, feat, plays
+from millrace.sources.tables import spread
 
 
-def _halves(df: DataFrame, key: str, seed: str, fraction: float) -> tuple[DataFrame, DataFrame]:
+def _halves(df: DataFrame, key: str | list[str], seed: str, fraction: float) -> tuple[DataFrame, DataFrame]:
     in_train = hash_below(key, seed, fraction)
     return df.filter(in_train), df.filter(~in_train)
 
@@ -89,31 +90,38 @@ def tuned_model(t: Tables) -> DataFrame:
 
 
 def _texts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    labelled = materialise(
-        L.index_label(t.documents.select("doc_id", "text", "lang"), "lang", "label"), "labelled"
-    ).withColumn("label", F.col("label").cast("double"))
+    documents = spread(t.documents.select("doc_id", "text", "lang"))
+    labelled = L.index_label(documents, "lang", "label").withColumn("label", F.col("label").cast("double"))
     return _halves(labelled, "doc_id", "l9", 0.7)
 
 
-@query()
+_STOP = ", ".join(f"'{w}'" for w in L.STOP_WORDS)
+
+
+@query(
+    f"""
+SELECT word, COUNT(*) AS n, COUNT(DISTINCT doc_id) AS n_texts
+FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '\\W')) AS word FROM documents
+      WHERE substring(md5('l9:' || doc_id), 1, 8) < '{hash_threshold(0.7)}') w
+WHERE word <> '' AND word NOT IN ({_STOP}) GROUP BY word HAVING COUNT(DISTINCT doc_id) >= 5"""
+)
 def bag_of_words(t: Tables) -> DataFrame:
-    """Per text the number of vocabulary words, and of their occurrences."""
+    """Per vocabulary word what the vectors of the training texts add up to."""
     train, _ = _texts(t)
     model = L.bag_of_words("text").fit(train)
-    return _vector_sizes(model.transform(t.documents.select("doc_id", "text")))
+    totals = L.vector_totals(model.transform(train))
+    rows = [(word, round(n), n_texts) for word, (n_texts, n) in zip(model.stages[-1].vocabulary, totals)]
+    return t.spark.createDataFrame(rows, "word string, n bigint, n_texts bigint")
 
 
 @query()
 def tf_idf(t: Tables) -> DataFrame:
+    """Per hashed word what the weighted vectors of the training texts add up to."""
     train, _ = _texts(t)
     model = L.tf_idf("text").fit(train)
-    return _vector_sizes(model.transform(t.documents.select("doc_id", "text")))
-
-
-def _vector_sizes(df: DataFrame) -> DataFrame:
-    weights = F.filter(vector_to_array("features"), lambda x: x != 0)
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return df.select("doc_id", F.size(weights).alias("n_words"), total.alias("total"))
+    totals = L.vector_totals(model.transform(train))
+    rows = [(i, n_texts, weight) for i, (n_texts, weight) in enumerate(totals) if n_texts]
+    return t.spark.createDataFrame(rows, "feature int, n_texts bigint, weight double")
 
 
 @query()
@@ -127,10 +135,11 @@ def multiclass_models(t: Tables) -> DataFrame:
 
 
 def _fitted(t: Tables):
-    rows = materialise(R.index_pairs(plays(t), "user_id", "item_id", "user", "item"), "indexed")
-    rows = rows.withColumns({c: F.col(c).cast("int") for c in ("user", "item")})
-    in_train = hash_below(["user_id", "item_id"], "r2", 0.7)
-    return R.fit_als(rows.filter(in_train), "user", "item", "plays"), rows.filter(~in_train)
+    """A model of the training rows, and the test rows."""
+    stored = materialise(plays(t), "plays")
+    rows = materialise(R.index_pairs(stored, "user_id", "item_id", "user", "item"), "indexed")
+    train, test = _halves(rows, ["user_id", "item_id"], "r2", 0.7)
+    return R.fit_als(train, "user", "item", "plays"), test
 
 
 @query()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hash_below, hash_threshold
+from millrace.lineage import materialise
 from millrace.operators import aggregates as A
 from millrace.operators import metrics as M
 from millrace.operators import mljobs
@@ -210,17 +211,27 @@ def rmse(t: Tables) -> DataFrame:
 # ---- recommendation lists: the items most bought in the customer's nation
 
 
+def _marked_plays(t: Tables) -> DataFrame:
+    in_train = hash_below(["user_id", "item_id"], "r5", 0.7)
+    return plays(t).withColumn("in_train", in_train)
+
+
+def _relevant(marked: DataFrame) -> DataFrame:
+    return R.top_k_per_group(marked.filter("NOT in_train"), "user_id", "item_id", "plays", 10, "relevant")
+
+
 def _lists(t: Tables) -> DataFrame:
     """Per user the recommended and the relevant items."""
-    rows = plays(t)
-    in_train = hash_below(["user_id", "item_id"], "r5", 0.7)
+    marked = materialise(_marked_plays(t), "marked")
     home = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("nation"))
     popular = (
-        rows.filter(in_train).join(home, "user_id").groupBy("nation", "item_id").agg(F.sum("plays").alias("plays"))
+        marked.filter("in_train").join(home, "user_id").groupBy("nation", "item_id").agg(F.sum("plays").alias("plays"))
+    )
+    # one row a nation; written, so that the planner knows it is small
+    recommended = materialise(R.top_k_per_group(popular, "nation", "item_id", "plays", 10, "recommended"), "popular")
+    return (
+        _relevant(marked).join(home, "user_id").join(recommended, "nation").select("user_id", "recommended", "relevant")
     )
-    recommended = R.top_k_per_group(popular, "nation", "item_id", "plays", 10, "recommended")
-    relevant = R.top_k_per_group(rows.filter(~in_train), "user_id", "item_id", "plays", 10, "relevant")
-    return relevant.join(home, "user_id").join(recommended, "nation").select("user_id", "recommended", "relevant")
 
 
 _LISTS_SQL = f"""
@@ -242,7 +253,8 @@ hits AS (
 
 @query(f"{_LISTS_SQL} SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS items FROM relevant GROUP BY user_id")
 def relevant_items(t: Tables) -> DataFrame:
-    return _lists(t).select("user_id", F.array_join(F.col("relevant").cast("array<string>"), ",").alias("items"))
+    top = _relevant(_marked_plays(t))
+    return top.select("user_id", F.array_join(F.col("relevant").cast("array<string>"), ",").alias("items"))
 
 
 @query(
