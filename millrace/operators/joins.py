@@ -6,6 +6,10 @@ intermediate table has a known size, and the planner broadcasts it below
 hot partitions adaptive execution splits. ``broadcast_if_small`` serves the one
 case the planner cannot see, a side computed from an aggregate or a filter, and it
 measures the side first.
+
+Adaptive execution splits a hot key only where both sides of the join are freshly
+shuffled, not where one is the result of an aggregation on that key. Key sets that
+have to be made distinct are therefore written before they are joined.
 """
 
 from __future__ import annotations
@@ -31,6 +35,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return F.broadcast(df) if rows <= max_rows and (bytes_ or 0) <= max_bytes else df
 
 
+def key_table(keys: DataFrame, on: list[str]) -> DataFrame:
+    """The distinct keys as a written table: of known size, and splittable when shuffled."""
+    return materialise(keys.select(*on).distinct(), "keys")
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, take: dict[str, str]) -> DataFrame:
     """Add columns of ``dim`` (``take``: its column -> new name) by a key named differently there."""
     side = dim.select(F.col(dim_key).alias(key), *[F.col(c).alias(name) for c, name in take.items()])
@@ -76,19 +85,19 @@ def drop_rejected(
     key, or a longer one when a rejection is about a pair.
     """
     standing = rejected.join(accepted, accepted_on or on, "left_anti")
-    return fact.join(standing.select(*on).distinct(), on, "left_anti")
+    return fact.join(key_table(standing, on), on, "left_anti")
 
 
 def complement(df: DataFrame, part: DataFrame, on: str | list[str]) -> DataFrame:
-    """The rows of ``df`` that are not in ``part``."""
-    keys = [on] if isinstance(on, str) else on
-    return df.join(part.select(*keys), keys, "left_anti")
+    """The rows of ``df`` that are not in ``part``, by a key that is unique in both."""
+    names = [on] if isinstance(on, str) else on
+    return df.join(part.select(*names), names, "left_anti")
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """The rows of ``df`` whose key occurs in ``keys``."""
     names = [on] if isinstance(on, str) else on
-    return df.join(keys.select(*names), names, "left_semi")
+    return df.join(key_table(keys, names), names, "left_semi")
 
 
 def edge_endpoints(
@@ -105,7 +114,7 @@ def missing_keys(fact: DataFrame, dim: DataFrame, on: str, via: str = "join") ->
     """Distinct known keys of the fact table that the dimension lacks, by anti join or set difference."""
     keys = fact.select(on).filter(F.col(on).isNotNull())
     if via == "join":
-        return keys.distinct().join(dim.select(on), on, "left_anti")
+        return keys.distinct().join(dim.select(on).distinct(), on, "left_anti")
     return keys.subtract(dim.select(on))
 
 

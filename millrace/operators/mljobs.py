@@ -5,7 +5,7 @@ Every fitted step takes the training rows only: split first, then fit.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import (
     IDF,
     PCA,
-    CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     RegexTokenizer,
     StandardScaler,
@@ -71,48 +71,53 @@ def index_label(df: DataFrame, col: str, name: str) -> DataFrame:
     return lookup(df, label_index(df, col, name), col, col, {name: name})
 
 
-def _words(text: str, extra_stop_words: list[str], keep_default: bool) -> list:
-    remover = StopWordsRemover(inputCol="_words", outputCol="_kept")
-    default = StopWordsRemover.loadDefaultStopWords("english") if keep_default else []
+def _stop_list(extra: list[str], keep_default: bool) -> list[str]:
+    return (StopWordsRemover.loadDefaultStopWords("english") if keep_default else []) + extra
+
+
+def _words(text: str, stop_words: list[str]) -> list:
     return [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern="\\W"),
-        remover.setStopWords(default + extra_stop_words),
+        StopWordsRemover(inputCol="_words", outputCol="_kept").setStopWords(stop_words),
     ]
 
 
 def bag_of_words(
+    train: DataFrame,
     text: str,
     vocab_size: int = 10000,
     min_df: int = 5,
     output: str = "features",
     stop_words: list[str] = STOP_WORDS,
     keep_default: bool = False,
-) -> Pipeline:
-    """Word counts over the most frequent words of the training texts.
+) -> PipelineModel:
+    """Word counts over the ``vocab_size`` most frequent words of the training texts.
 
     ``keep_default`` adds the stop words to the usual English list; otherwise they
-    stand in for it.
+    stand in for it. Words of equal frequency at the cut go in alphabetical order.
     """
-    counter = CountVectorizer(inputCol="_kept", outputCol=output, vocabSize=vocab_size, minDF=min_df)
-    return Pipeline(stages=[*_words(text, stop_words, keep_default), counter])
+    stops = _stop_list(stop_words, keep_default)
+    words = [row["word"] for row in vocabulary(train, text, vocab_size, min_df, stops).collect()]
+    counter = CountVectorizerModel.from_vocabulary(words, inputCol="_kept", outputCol=output)
+    return PipelineModel(stages=[*_words(text, stops), counter])
 
 
 def tf_idf(
+    train: DataFrame,
     text: str,
     n_features: int = 10000,
     min_doc_freq: int = 5,
     output: str = "features",
     stop_words: list[str] = STOP_WORDS,
     keep_default: bool = False,
-) -> Pipeline:
-    """Hashed word counts weighted by how few texts hold the word."""
-    return Pipeline(
-        stages=[
-            *_words(text, stop_words, keep_default),
-            HashingTF(inputCol="_kept", outputCol="_raw", numFeatures=n_features),
-            IDF(inputCol="_raw", outputCol=output, minDocFreq=min_doc_freq),
-        ]
-    )
+) -> PipelineModel:
+    """Hashed word counts weighted by how few of the training texts hold the word."""
+    stages = [
+        *_words(text, _stop_list(stop_words, keep_default)),
+        HashingTF(inputCol="_kept", outputCol="_raw", numFeatures=n_features),
+        IDF(inputCol="_raw", outputCol=output, minDocFreq=min_doc_freq),
+    ]
+    return Pipeline(stages=stages).fit(train)
 
 
 def vector_totals(df: DataFrame, features: str = "features") -> list[tuple[int, float]]:

@@ -31,8 +31,14 @@ def top_rows_per_group(df: DataFrame, groups: list[str], order: list[Column], k:
     """The first ``k`` rows of each group, numbered.
 
     The rank is compared with ``k`` directly on the window, so every map task cuts its
-    part of a group down to ``k`` rows before the shuffle.
+    part of a group down to ``k`` rows before the shuffle. Spark does so up to a
+    threshold; beyond it the groups are cut within each input partition first.
     """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > threshold:
+        within = Window.partitionBy(*groups, "_part").orderBy(*order)
+        parts = df.withColumn("_part", F.spark_partition_id()).withColumn(rank, F.row_number().over(within))
+        df = parts.filter(F.col(rank) <= k).drop("_part", rank)
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
@@ -94,7 +100,7 @@ def number_in_class(df: DataFrame, label: str, key: str, seed: int | str, name:
 def ecdf(df: DataFrame, col: str) -> DataFrame:
     """Share of the rows at or below each distinct value."""
     steps = value_steps(df, col)
-    total = df.agg(F.count(col)).scalar()
+    total = steps.agg(F.max("upto")).scalar()
     return steps.select(col, "n", (F.col("upto") / total).alias("ecdf"))
 
 

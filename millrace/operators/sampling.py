@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import hash_below, key_hash
 from millrace.lineage import materialise
 from millrace.operators.filters import case_column
-from millrace.operators.joins import union_all
+from millrace.operators.joins import key_table, union_all
 
 
 def split(df: DataFrame, key: str | list[str], fractions: list[float], seed: int | str, name: str = "part") -> DataFrame:
@@ -102,5 +102,5 @@ def class_weights(df: DataFrame, label: str, mapping: dict, default: float = 1.0
 
 def uncovered(test: DataFrame, train: DataFrame, on: str) -> DataFrame:
     """How many rows and keys of the test part have no row in the training part."""
-    left_out = test.join(train.select(on).distinct(), on, "left_anti")
+    left_out = test.join(key_table(train, [on]), on, "left_anti")
     return left_out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(on).alias("n_keys"))

@@ -103,12 +103,13 @@ _STOP = ", ".join(f"'{w}'" for w in L.STOP_WORDS)
 SELECT word, COUNT(*) AS n, COUNT(DISTINCT doc_id) AS n_texts
 FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '\\W')) AS word FROM documents
       WHERE substring(md5('l9:' || doc_id), 1, 8) < '{hash_threshold(0.7)}') w
-WHERE word <> '' AND word NOT IN ({_STOP}) GROUP BY word HAVING COUNT(DISTINCT doc_id) >= 5"""
+WHERE word <> '' AND word NOT IN ({_STOP}) GROUP BY word HAVING COUNT(DISTINCT doc_id) >= 5
+ORDER BY n DESC, word LIMIT 10000"""
 )
 def bag_of_words(t: Tables) -> DataFrame:
     """Per vocabulary word what the vectors of the training texts add up to."""
     train, _ = _texts(t)
-    model = L.bag_of_words("text").fit(train)
+    model = L.bag_of_words(train, "text")
     totals = L.vector_totals(model.transform(train))
     rows = [(word, round(n), n_texts) for word, (n_texts, n) in zip(model.stages[-1].vocabulary, totals)]
     return t.spark.createDataFrame(rows, "word string, n bigint, n_texts bigint")
@@ -118,7 +119,7 @@ def bag_of_words(t: Tables) -> DataFrame:
 def tf_idf(t: Tables) -> DataFrame:
     """Per hashed word what the weighted vectors of the training texts add up to."""
     train, _ = _texts(t)
-    model = L.tf_idf("text").fit(train)
+    model = L.tf_idf(train, "text")
     totals = L.vector_totals(model.transform(train))
     rows = [(i, n_texts, weight) for i, (n_texts, weight) in enumerate(totals) if n_texts]
     return t.spark.createDataFrame(rows, "feature int, n_texts bigint, weight double")
@@ -127,7 +128,7 @@ def tf_idf(t: Tables) -> DataFrame:
 @query()
 def multiclass_models(t: Tables) -> DataFrame:
     train, test = _texts(t)
-    words = L.bag_of_words("text").fit(train)
+    words = L.bag_of_words(train, "text")
     ready = [materialise(words.transform(df).select("doc_id", "label", "features"), "texts") for df in (train, test)]
     return union_all(
         [L.train_eval_multiclass(name, m, *ready) for name, m in L.multiclass_classifiers().items()]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
+from millrace.lineage import materialise
 from millrace.operators import aggregates as A
 from millrace.operators import filters as P
 from millrace.operators import joins as J
@@ -154,7 +155,7 @@ FROM users LEFT JOIN counts USING (id) LEFT JOIN span USING (id)"""
 )
 def enrich_users(t: Tables) -> DataFrame:
     users = A.distinct_keys(obs(t), ["id"])
-    held = inventory(t)
+    held = materialise(inventory(t), "inventory")
     counts = A.element_counts(held, "id", "element", CORE)
     return J.enrich(users, counts, A.active_span(held, "id", "first_day", "last_day"), on="id").fillna(0)
 
@@ -239,7 +240,7 @@ SELECT user_id, item_id, plays FROM plays
 WHERE user_id IN (SELECT user_id FROM plays GROUP BY user_id HAVING COUNT(*) > 40)"""
 )
 def semi_keep(t: Tables) -> DataFrame:
-    rows = plays(t)
+    rows = materialise(plays(t), "plays")
     active = A.activity(rows, "user_id", "item_id", "plays", "n_items", "total").filter(F.col("n_items") > 40)
     return J.keep_matching(rows, active, "user_id")
 
@@ -538,7 +539,7 @@ SELECT user_id, item_id, plays FROM plays WHERE item_id IN (
   SELECT item_id FROM plays GROUP BY item_id ORDER BY COUNT(*) DESC, item_id LIMIT 10)"""
 )
 def keep_top_groups(t: Tables) -> DataFrame:
-    return R.keep_top_groups(plays(t), "item_id", 10)
+    return R.keep_top_groups(materialise(plays(t), "plays"), "item_id", 10)
 
 
 _TOP_K_SQL = """

@@ -82,7 +82,7 @@ SELECT COUNT(*) AS n_rows, COUNT(DISTINCT user_id) AS n_keys FROM marked
 WHERE NOT in_train AND user_id NOT IN (SELECT user_id FROM marked WHERE in_train)"""
 )
 def uncovered_users(t: Tables) -> DataFrame:
-    marked = X.split(plays(t), ["user_id", "item_id"], [0.05, 0.95], "x7")
+    marked = materialise(X.split(plays(t), ["user_id", "item_id"], [0.05, 0.95], "x7"), "marked")
     return X.uncovered(marked.filter("part = 1"), marked.filter("part = 0"), "user_id")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import columns as C
 from millrace.lineage import scratch_path
 from millrace.operators.joins import union_all
+from millrace.operators.textcount import parse_pairs
 from millrace.plans.registry import TABLE_NAMES, Tables, query
 from millrace.plans.views import FEATURES, feat
 from millrace.sources import delimited, lines, tables
@@ -141,8 +142,6 @@ def write_read_parquet(t: Tables) -> DataFrame:
 @query("SELECT c_mktsegment AS word, CAST(COUNT(*) AS VARCHAR) AS count FROM customer GROUP BY c_mktsegment")
 def write_read_text(t: Tables) -> DataFrame:
     """Key and count pairs as tab-separated text."""
-    from millrace.operators.textcount import parse_pairs
-
     path = scratch_path(t.spark, "text")
     counts = t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     tables.write_table(counts, path, format="text")
@@ -151,10 +150,9 @@ def write_read_text(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def union_files(t: Tables) -> DataFrame:
-    """One file set per order status, read as one table."""
+    """One file set per order status, written in one pass and read as one table."""
     path = scratch_path(t.spark, "union")
-    part = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    for status in ("F", "O", "P"):
-        tables.write_table(part.filter(F.col("o_orderstatus") == status), f"{path}/{status}", format="csv")
+    part = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderstatus").alias("status"))
+    tables.write_table(part, path, format="csv", partition_by=["status"])
     schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
-    return delimited.read_delimited(t.spark, f"{path}/[FOP]", schema, header=True)
+    return delimited.read_delimited(t.spark, f"{path}/status=[FOP]", schema, header=True)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -145,15 +145,17 @@ def test_every_classifier_fits(features):
 def test_text_features(spark):
     texts = ["The cat sat; the CAT ran", "a cat, a dog", "the dog http", "dog cat", "cat dog bird"]
     df = spark.createDataFrame([(i, float(i % 2), x) for i, x in enumerate(texts)], "id int, label double, text string")
-    model = L.bag_of_words("text", vocab_size=3, min_df=2).fit(df)
-    assert set(model.stages[-1].vocabulary) == {"cat", "dog", "a"} - {"a"}
+    model = L.bag_of_words(df, "text", vocab_size=3, min_df=2)
+    assert model.stages[-1].vocabulary == ["cat", "dog"]
     want = [tuple(r) for r in L.vocabulary(df, "text", vocab_size=3, min_df=2).collect()]
     assert want == [("cat", 5, 4), ("dog", 4, 4)]
     totals = dict(zip(model.stages[-1].vocabulary, L.vector_totals(model.transform(df))))
     assert totals == {"cat": (4, 5.0), "dog": (4, 4.0)}
-    kept = L.bag_of_words("text", min_df=1, keep_default=True).fit(df)
+    fitted = CountVectorizer(inputCol="_kept", outputCol="x", vocabSize=3, minDF=2).fit(model.transform(df).drop("x"))
+    assert fitted.vocabulary == ["cat", "dog"]
+    kept = L.bag_of_words(df, "text", min_df=1, keep_default=True)
     assert "a" not in kept.stages[-1].vocabulary and "a" in StopWordsRemover.loadDefaultStopWords("english")
-    weights = L.tf_idf("text", n_features=64, min_doc_freq=2).fit(df).transform(df)
+    weights = L.tf_idf(df, "text", n_features=64, min_doc_freq=2).transform(df)
     assert weights.select(F.size(F.filter(vector_to_array("features"), lambda x: x != 0))).first()[0] > 0
     scores = L.train_eval_multiclass("nb", L.multiclass_classifiers()["naive_bayes"], model.transform(df), model.transform(df))
     assert 0 <= scores.first()["accuracy"] <= 1

@@ -187,3 +187,40 @@ def test_top_confident_sorts_by_the_class_itself(spark):
         ["id", "probability", "prediction"],
     )
     assert [r["id"] for r in R.top_confident(df, 1, 5, "id").collect()] == [2, 1]
+
+
+def test_top_rows_beyond_the_group_limit(spark, rows):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v")).repartition(6)
+    top = R.top_rows_per_group(df, ["g"], [F.desc("v")], 1500)
+    assert top.count() == 3000
+    assert top.agg(F.min("v")).first()[0] == 2000
+    assert rows(top.filter("rank = 1"), "g", "v") == [(0, 4998), (1, 4999)]
+
+
+def test_hot_keys_are_split_in_joins(spark, tmp_path, rows):
+    """Two thirds of the rows under one key: adaptive execution cuts that partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    path = str(tmp_path / "facts")
+    hot = F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 1000)
+    spark.range(60000).select(hot.alias("k"), F.col("id").alias("v")).repartition(6).write.parquet(path)
+    fact = spark.read.parquet(path)
+    keys = fact.filter("k < 500").select("k")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        kept = J.keep_matching(fact, keys, "k")
+        assert kept.count() == fact.filter("k < 500").count()
+        kept.write.format("noop").mode("overwrite").save()
+        kept.collect()
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+        dropped = J.drop_rejected(fact, keys, keys.limit(0), ["k"])
+        assert dropped.count() == fact.filter("k >= 500").count()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
