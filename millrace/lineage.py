@@ -19,14 +19,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only for local sessions."""
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(_SETTING, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)  # where the solvers of Spark ML cut their lineage
     return folder.rstrip("/")
 
 

@@ -3,7 +3,8 @@ checks that rows come out, and the tests check what must hold of them."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import hash_below, hash_threshold
 from millrace.lineage import materialise
 from millrace.operators import mljobs as L
-from millrace.operators import recommend as R
+from millrace.operators import ranking as R
+from millrace.operators import recommend
 from millrace.operators import sampling as X
 from millrace.operators.joins import union_all
 from millrace.plans.registry import Tables, query
@@ -74,25 +76,43 @@ def compare_models(t: Tables) -> DataFrame:
     return L.compare(L.binary_classifiers(), variants, test)
 
 
-@query()
-def tuned_model(t: Tables) -> DataFrame:
+def _search(t: Tables, model: Estimator, grid: dict[str, list]) -> DataFrame:
+    """The mean score of every grid point over two folds, and the best model's on the test rows."""
     train, test = _binary(t)
-    model = LogisticRegression(maxIter=20)
-    search = L.tune(model, {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]}, L.f1_evaluator(), folds=2)
-    best = search.fit(L.with_folds(train, "vec_id", 2))
+    best = L.tune(model, grid, L.f1_evaluator(), folds=2).fit(L.with_folds(train, "vec_id", 2))
     points = [
-        (*[float(value) for value in point.values()], float(f1))
+        (", ".join(f"{param.name}={value}" for param, value in point.items()), float(f1))
         for point, f1 in zip(best.getEstimatorParamMaps(), best.avgMetrics)
     ]  # one row a grid point
-    grid = t.spark.createDataFrame(points, "reg_param double, elastic_net_param double, mean_f1 double")
     tested = L.f1_evaluator().evaluate(best.transform(test))
-    return grid.withColumn("best_test_f1", F.lit(tested))
+    return t.spark.createDataFrame(points, "point string, mean_f1 double").withColumn("best_test_f1", F.lit(tested))
+
+
+@query()
+def tuned_model(t: Tables) -> DataFrame:
+    return _search(t, LogisticRegression(maxIter=20), {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]})
+
+
+@query()
+def tuned_forest(t: Tables) -> DataFrame:
+    return _search(t, RandomForestClassifier(seed=42), {"numTrees": [10, 20], "maxDepth": [3, 5]})
+
 
+def _documents(t: Tables) -> DataFrame:
+    return spread(t.documents.select("doc_id", "text", "lang"))
 
-def _texts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    documents = spread(t.documents.select("doc_id", "text", "lang"))
-    labelled = L.index_label(documents, "lang", "label").withColumn("label", F.col("label").cast("double"))
-    return _halves(labelled, "doc_id", "l9", 0.7)
+
+def _text_halves(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return _halves(documents, "doc_id", "l9", 0.7)
+
+
+def _text_model(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Training and test texts as word counts over the training vocabulary, with the language as label."""
+    labelled = L.index_label(_documents(t), "lang", "label").withColumn("label", F.col("label").cast("double"))
+    train, test = _text_halves(labelled)
+    words = L.bag_of_words(train, "text")
+    ready = [words.transform(df).select("doc_id", "lang", "label", "features") for df in (train, test)]
+    return materialise(ready[0], "train"), materialise(ready[1], "test")
 
 
 _STOP = ", ".join(f"'{w}'" for w in L.STOP_WORDS)
@@ -108,7 +128,7 @@ ORDER BY n DESC, word LIMIT 10000"""
 )
 def bag_of_words(t: Tables) -> DataFrame:
     """Per vocabulary word what the vectors of the training texts add up to."""
-    train, _ = _texts(t)
+    train, _ = _text_halves(_documents(t))
     model = L.bag_of_words(train, "text")
     totals = L.vector_totals(model.transform(train))
     rows = [(word, round(n), n_texts) for word, (n_texts, n) in zip(model.stages[-1].vocabulary, totals)]
@@ -118,7 +138,7 @@ def bag_of_words(t: Tables) -> DataFrame:
 @query()
 def tf_idf(t: Tables) -> DataFrame:
     """Per hashed word what the weighted vectors of the training texts add up to."""
-    train, _ = _texts(t)
+    train, _ = _text_halves(_documents(t))
     model = L.tf_idf(train, "text")
     totals = L.vector_totals(model.transform(train))
     rows = [(i, n_texts, weight) for i, (n_texts, weight) in enumerate(totals) if n_texts]
@@ -127,20 +147,26 @@ def tf_idf(t: Tables) -> DataFrame:
 
 @query()
 def multiclass_models(t: Tables) -> DataFrame:
-    train, test = _texts(t)
-    words = L.bag_of_words(train, "text")
-    ready = [materialise(words.transform(df).select("doc_id", "label", "features"), "texts") for df in (train, test)]
+    train, test = _text_model(t)
     return union_all(
-        [L.train_eval_multiclass(name, m, *ready) for name, m in L.multiclass_classifiers().items()]
+        [L.train_eval_multiclass(name, m, train, test) for name, m in L.multiclass_classifiers().items()]
     )
 
 
+@query()
+def confident_texts(t: Tables) -> DataFrame:
+    """The texts most surely taken for the commonest language."""
+    train, test = _text_model(t)
+    pred = L.multiclass_classifiers()["logistic_regression"].fit(train).transform(test)
+    return R.top_confident(pred, 0, 10, "doc_id").select("doc_id", "lang", "confidence", "label", "prediction")
+
+
 def _fitted(t: Tables):
     """A model of the training rows, and the test rows."""
     stored = materialise(plays(t), "plays")
-    rows = materialise(R.index_pairs(stored, "user_id", "item_id", "user", "item"), "indexed")
+    rows = materialise(recommend.index_pairs(stored, "user_id", "item_id", "user", "item"), "indexed")
     train, test = _halves(rows, ["user_id", "item_id"], "r2", 0.7)
-    return R.fit_als(train, "user", "item", "plays"), test
+    return recommend.fit_als(train, "user", "item", "plays"), test
 
 
 @query()
@@ -153,10 +179,10 @@ def als_fit(t: Tables) -> DataFrame:
 @query()
 def als_score(t: Tables) -> DataFrame:
     model, test = _fitted(t)
-    return R.score(model, test).select("user_id", "item_id", "plays", "prediction")
+    return recommend.score(model, test).select("user_id", "item_id", "plays", "prediction")
 
 
 @query()
 def als_recommend(t: Tables) -> DataFrame:
     model, _ = _fitted(t)
-    return R.recommend(model, 10).select("user", F.posexplode("recommended").alias("position", "item"))
+    return recommend.recommend(model, 10).select("user", F.posexplode("recommended").alias("position", "item"))

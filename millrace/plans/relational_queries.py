@@ -369,22 +369,22 @@ def _yearly(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT CAST(YEAR(shipdate) AS INT) AS year, dst_id, ROUND(AVG(quantity), 4) AS mean
+SELECT CAST(YEAR(shipdate) AS INT) AS year, dst_id, ROUND(AVG(quantity), 6) AS mean
 FROM edges GROUP BY 1, 2"""
 )
 def mean_by_year_group(t: Tables) -> DataFrame:
-    return A.mean_by(_yearly(t), ["year", "dst_id"], "quantity").withColumn("mean", F.round("mean", 4))
+    return A.mean_by(_yearly(t), ["year", "dst_id"], "quantity").withColumn("mean", F.round("mean", 6))
 
 
 @query(
     """
-SELECT dst_id, ROUND(AVG(mean), 4) AS mean FROM (
+SELECT dst_id, ROUND(AVG(mean), 6) AS mean FROM (
   SELECT YEAR(shipdate) AS year, dst_id, AVG(quantity) AS mean FROM edges GROUP BY 1, 2) yearly
 GROUP BY dst_id"""
 )
 def mean_of_means(t: Tables) -> DataFrame:
     means = A.mean_of_means(_yearly(t), ["year"], ["dst_id"], "quantity")
-    return means.withColumn("mean", F.round("mean", 4))
+    return means.withColumn("mean", F.round("mean", 6))
 
 
 @query(
@@ -445,6 +445,20 @@ def top_by_edges(t: Tables) -> DataFrame:
     return A.top_by_edges(edges(t), nodes(t), "src_id", "dst_id", "node_id", "node_name")
 
 
+_TOP_SQL = """
+SELECT src_id, node_name, n_edges
+FROM (SELECT src_id, COUNT(dst_id) AS n_edges FROM edges GROUP BY src_id) counts
+LEFT JOIN nodes ON node_id = src_id ORDER BY n_edges DESC, src_id"""
+
+
+@query(_TOP_SQL)
+def top_by_edges_sql(t: Tables) -> DataFrame:
+    """The same question put in SQL over temporary views."""
+    edges(t).createOrReplaceTempView("edges")
+    nodes(t).createOrReplaceTempView("nodes")
+    return t.spark.sql(_TOP_SQL)
+
+
 @query(
     """
 SELECT carrier_id, s_name, COUNT(dst_id) AS n_edges

@@ -14,32 +14,32 @@ from millrace.plans.views import edges, obs
 @query(
     """
 SELECT l_linestatus, CAST(YEAR(l_shipdate) AS INT) AS year,
-       ROUND(AVG(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END), 2) AS a,
-       ROUND(AVG(CASE WHEN l_returnflag = 'N' THEN l_extendedprice END), 2) AS n,
-       ROUND(AVG(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 2) AS r
+       ROUND(AVG(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END), 5) AS a,
+       ROUND(AVG(CASE WHEN l_returnflag = 'N' THEN l_extendedprice END), 5) AS n,
+       ROUND(AVG(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 5) AS r
 FROM lineitem GROUP BY 1, 2"""
 )
 def pivot_mean(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_linestatus", F.year("l_shipdate").alias("year"), "l_returnflag", "l_extendedprice")
     wide = S.pivot_mean(rows, ["l_linestatus", "year"], "l_returnflag", "l_extendedprice", ["A", "N", "R"])
-    return wide.select("l_linestatus", "year", *[F.round(c, 2).alias(c.lower()) for c in ("A", "N", "R")])
+    return wide.select("l_linestatus", "year", *[F.round(c, 5).alias(c.lower()) for c in ("A", "N", "R")])
 
 
 @query(
     """
-SELECT l_returnflag, CAST(YEAR(day) AS INT) AS year, ROUND(AVG(mean), 4) AS mean
+SELECT l_returnflag, CAST(YEAR(day) AS INT) AS year, ROUND(AVG(mean), 6) AS mean
 FROM (SELECT l_returnflag, l_shipdate AS day, AVG(l_quantity) AS mean FROM lineitem GROUP BY 1, 2) daily
 GROUP BY 1, 2"""
 )
 def resample_year(t: Tables) -> DataFrame:
     """Yearly means of the daily means."""
     daily = A.mean_by(t.lineitem, ["l_returnflag", "l_shipdate"], "l_quantity", "daily_mean")
-    return S.resample_year(daily, "l_shipdate", "daily_mean", ["l_returnflag"]).withColumn("mean", F.round("mean", 4))
+    return S.resample_year(daily, "l_shipdate", "daily_mean", ["l_returnflag"]).withColumn("mean", F.round("mean", 6))
 
 
-@query("SELECT element, day, ROUND(AVG(value), 4) AS mean FROM obs GROUP BY element, day")
+@query("SELECT element, day, ROUND(AVG(value), 6) AS mean FROM obs GROUP BY element, day")
 def daily_average(t: Tables) -> DataFrame:
-    return A.mean_by(obs(t), ["element", "day"], "value").withColumn("mean", F.round("mean", 4))
+    return A.mean_by(obs(t), ["element", "day"], "value").withColumn("mean", F.round("mean", 6))
 
 
 @query("SELECT element, day, COUNT(id) AS n FROM obs GROUP BY element, day")
@@ -48,7 +48,7 @@ def daily_count(t: Tables) -> DataFrame:
 
 
 _REGION_SQL = """
-SELECT {keys}, ROUND(AVG(l_quantity), 4) AS mean
+SELECT {keys}, ROUND(AVG(l_quantity), 6) AS mean
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
 WHERE l_returnflag = 'A' AND YEAR(l_shipdate) = 1998 AND s_nationkey < 12 GROUP BY {keys}"""
 
@@ -57,7 +57,7 @@ def _regional(t: Tables, keys: list[str]) -> DataFrame:
     suppliers = t.supplier.withColumnRenamed("s_suppkey", "l_suppkey")
     selected = (F.col("l_returnflag") == "A") & (F.year("l_shipdate") == 1998)
     means = S.regional_daily(t.lineitem, suppliers, "l_suppkey", selected, F.col("s_nationkey") < 12, keys, "l_quantity")
-    return means.withColumn("mean", F.round("mean", 4))
+    return means.withColumn("mean", F.round("mean", 6))
 
 
 @query(_REGION_SQL.format(keys="l_shipdate, s_nationkey"))

@@ -20,14 +20,14 @@ _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", COUNT({c}) AS count, ROUND(AVG({c}), 4) AS mean,
-        ROUND(STDDEV_SAMP({c}), 4) AS stddev, MIN({c}) AS min, MAX({c}) AS max FROM lineitem"""
+        f"""SELECT '{c}' AS "column", COUNT({c}) AS count, ROUND(AVG({c}), 5) AS mean,
+        ROUND(STDDEV_SAMP({c}), 5) AS stddev, MIN({c}) AS min, MAX({c}) AS max FROM lineitem"""
         for c in _MEASURES
     )
 )
 def describe_long(t: Tables) -> DataFrame:
     out = Q.describe_long(t.lineitem, _MEASURES)
-    return out.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
+    return out.withColumns({"mean": F.round("mean", 5), "stddev": F.round("stddev", 5)})
 
 
 _PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -35,12 +35,12 @@ _PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 @query(
     " UNION ALL ".join(
-        f"SELECT CAST({p} AS DOUBLE) AS prob, ROUND(quantile_cont(o_totalprice, {p}), 4) AS value FROM orders"
+        f"SELECT CAST({p} AS DOUBLE) AS prob, ROUND(quantile_cont(o_totalprice, {p}), 6) AS value FROM orders"
         for p in _PROBS
     )
 )
 def quantiles_exact(t: Tables) -> DataFrame:
-    return Q.quantiles_exact(t.orders, "o_totalprice", _PROBS).withColumn("value", F.round("value", 4))
+    return Q.quantiles_exact(t.orders, "o_totalprice", _PROBS).withColumn("value", F.round("value", 6))
 
 
 @query()
@@ -196,7 +196,7 @@ def multiclass_summary(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT ROUND(SQRT(AVG((o_totalprice - mean) * (o_totalprice - mean))), 2) AS rmse
+SELECT ROUND(SQRT(AVG((o_totalprice - mean) * (o_totalprice - mean))), 5) AS rmse
 FROM orders JOIN (SELECT o_custkey, AVG(o_totalprice) AS mean FROM orders GROUP BY o_custkey) m USING (o_custkey)
 WHERE o_custkey % 10 <> 0"""
 )
@@ -205,7 +205,7 @@ def rmse(t: Tables) -> DataFrame:
     means = materialise(A.mean_by(t.orders, ["o_custkey"], "o_totalprice", "prediction"), "means")
     unknown = F.when(F.col("o_custkey") % 10 == 0, float("nan")).otherwise(F.col("prediction"))
     scored = t.orders.join(means.withColumn("prediction", unknown), "o_custkey")
-    return M.rmse(scored, "o_totalprice", "prediction").withColumn("rmse", F.round("rmse", 2))
+    return M.rmse(scored, "o_totalprice", "prediction").withColumn("rmse", F.round("rmse", 5))
 
 
 # ---- recommendation lists: the items most bought in the customer's nation

@@ -134,7 +134,7 @@ def hash_fraction(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT carrier_id, COUNT(*) AS n_edges, ROUND(SUM(2 * 6373.0 * atan2(sqrt(h), sqrt(1 - h))) / COUNT(*), 4) AS mean_km
+SELECT carrier_id, COUNT(*) AS n_edges, ROUND(SUM(2 * 6373.0 * atan2(sqrt(h), sqrt(1 - h))) / COUNT(*), 6) AS mean_km
 FROM (
   SELECT carrier_id,
          LEAST(1.0, power(sin(radians(d.latitude - s.latitude) / 2), 2) + cos(radians(s.latitude))
@@ -148,5 +148,5 @@ def edge_distance(t: Tables) -> DataFrame:
     ends = edge_endpoints(edges(t), nodes(t), "src_id", "dst_id", "node_id", ["latitude", "longitude"])
     km = haversine("src_latitude", "src_longitude", "dst_latitude", "dst_longitude")
     return ends.groupBy("carrier_id").agg(
-        F.count(F.lit(1)).alias("n_edges"), F.round(F.avg(km), 4).alias("mean_km")
+        F.count(F.lit(1)).alias("n_edges"), F.round(F.avg(km), 6).alias("mean_km")
     )
