@@ -64,7 +64,7 @@ def _candidates(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame
         reach = reach.withColumn(f"d{axis}", F.explode(steps)).withColumn(
             f"c{axis}", F.col(f"c{axis}") + F.col(f"d{axis}")
         )
-    reach = reach.drop("dx", "dy", "dz")
+    reach = reach.filter(_touches_sphere(edge)).drop("dx", "dy", "dz")
     others = points.select(
         F.col("id").alias("other_id"),
         F.col("lat").alias("other_lat"),
@@ -75,6 +75,17 @@ def _candidates(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame
     return reach.join(others, ["cx", "cy", "cz"]).withColumn("km", km)
 
 
+def _touches_sphere(edge: float) -> Column:
+    """True for cells the surface runs through; about half of the 27 around a point do not."""
+    nearest, farthest = F.lit(0.0), F.lit(0.0)
+    for axis in "xyz":
+        low = F.col(f"c{axis}") * F.lit(edge)
+        high = low + F.lit(edge)
+        nearest += F.when(low > 0, low * low).when(high < 0, high * high).otherwise(F.lit(0.0))
+        farthest += F.greatest(low * low, high * high)
+    return (nearest <= 1 + 1e-9) & (farthest >= 1 - 1e-9)
+
+
 def _is_safe(edge: float) -> Column:
     """True for a distance below which the touching cells hold every point."""
     if edge >= _WHOLE_GLOBE:
@@ -89,11 +100,14 @@ def nearest_neighbour(df: DataFrame, id: str, lat: str, lon: str) -> DataFrame:
     distance zero; equal distances go to the smaller id. Ids without a coordinate,
     and a single point, get null.
     """
-    spots = materialise(_distinct_spots(df, id, lat, lon, 2), "spots")
-    firsts = spots.filter(F.col("nth") == 1)
-    seconds = spots.filter(F.col("nth") == 2).select("lat", "lon", F.col("id").alias("second_id"))
-    by_place = materialise(firsts.join(seconds, ["lat", "lon"], "left"), "places")
-
+    by_place = materialise(
+        _distinct_spots(df, id, lat, lon, 2)
+        .groupBy("lat", "lon", "x", "y", "z")
+        .agg(F.min("id").alias("id"), F.max("id").alias("_last"), F.count(F.lit(1)).alias("_ids"))
+        .withColumn("second_id", F.when(F.col("_ids") > 1, F.col("_last")))
+        .drop("_last", "_ids"),
+        "places",
+    )
     points = by_place.select("id", "lat", "lon", "x", "y", "z")
     open_points = by_place.filter(F.col("second_id").isNull()).select(points.columns)
     answers = []

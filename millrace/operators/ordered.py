@@ -1,6 +1,7 @@
 """Row numbers and running sums over a whole ordered table, without one global window.
 
-The rows are range-partitioned by the order and written. Each slab then adds up by
+The rows are range-partitioned by the order, into as many slabs as their size calls
+for, and written. Each slab then adds up by
 itself, and takes over the sum of the slabs before it; those sums are one row per
 slab and group. A group of any size is cut into slabs along the order, so a hot
 group never lands in one task.
@@ -22,11 +23,8 @@ def running_sums(
     ``order`` must be total within each group (``within``) for a repeatable answer.
     """
     groups = within or []
-    slabs = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialise(
-        df.repartitionByRange(slabs, *[F.col(g) for g in groups], *order).withColumn(
-            "_slab", F.spark_partition_id()
-        ),
+        df.repartitionByRange(*[F.col(g) for g in groups], *order).withColumn("_slab", F.spark_partition_id()),
         "ranged",
     )
     totals = ranged.groupBy(*groups, "_slab").agg(

@@ -34,7 +34,7 @@ def top_rows_per_group(df: DataFrame, groups: list[str], order: list[Column], k:
     part of a group down to ``k`` rows before the shuffle. Spark does so up to a
     threshold; beyond it the groups are cut within each input partition first.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > threshold:
         within = Window.partitionBy(*groups, "_part").orderBy(*order)
         parts = df.withColumn("_part", F.spark_partition_id()).withColumn(rank, F.row_number().over(within))

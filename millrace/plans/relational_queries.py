@@ -530,7 +530,7 @@ def ecdf(t: Tables) -> DataFrame:
     """
 WITH counts AS (SELECT carrier_id, COUNT(*) AS n FROM edges GROUP BY carrier_id),
 ranked AS (SELECT carrier_id, n, row_number() OVER (ORDER BY n DESC, carrier_id) AS rank FROM counts)
-SELECT carrier_id, n, rank FROM ranked WHERE rank <= 60 AND (rank - 1) % 10 = 0"""
+SELECT carrier_id, n, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 60 AND (rank - 1) % 10 = 0"""
 )
 def every_nth(t: Tables) -> DataFrame:
     counts = edges(t).groupBy("carrier_id").agg(F.count(F.lit(1)).alias("n"))
@@ -593,7 +593,7 @@ WITH ranked AS (
   SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY plays DESC, item_id) AS rank
   FROM plays),
 top AS (SELECT user_id, item_id, rank FROM ranked WHERE rank <= 5)
-SELECT user_id, item_id, rank,
+SELECT user_id, item_id, CAST(rank AS INT) AS rank,
        MAX(CASE WHEN item_id % 7 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS has_seventh
 FROM top"""
 )

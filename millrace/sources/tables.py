@@ -54,7 +54,7 @@ def profile(dfs: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("dataset"),
             "n_rows",
-            F.lit(len(df.columns)).alias("n_columns"),
+            F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
             F.lit(", ".join(f"{c} {kind}" for c, kind in df.dtypes)).alias("columns"),
         )
         for name, df in dfs.items()
