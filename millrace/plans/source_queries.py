@@ -43,36 +43,40 @@ def read_inferred_roundtrip(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT s_suppkey, CASE WHEN s_suppkey % 13 = 1 OR s_suppkey % 7 = 0 THEN NULL ELSE s_acctbal END AS s_acctbal,
-       CASE WHEN s_suppkey % 13 = 1 OR s_suppkey % 11 = 0 THEN NULL ELSE s_name END AS s_name
+SELECT s_suppkey, CASE WHEN s_nationkey = 7 OR s_acctbal < 0 OR s_acctbal > 9000 THEN NULL ELSE s_acctbal END AS s_acctbal,
+       CASE WHEN s_nationkey IN (3, 7) THEN NULL ELSE s_name END AS s_name
 FROM supplier"""
 )
 def read_fixed_width(t: Tables) -> DataFrame:
     """Blank numbers, numbers that do not read as such, blank names, and lines cut short."""
-    key = F.col("s_suppkey")
-    balance = F.when(key % 14 == 0, F.lit("")).when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("s_acctbal").cast("string"))
-    name = F.when(key % 11 == 0, F.lit("")).otherwise(F.col("s_name"))
-    line = F.concat_ws(" ", F.rpad(key.cast("string"), 11, " "), F.rpad(balance, 8, " "), F.rpad(name, 25, " "))
+    owed, nation = F.col("s_acctbal"), F.col("s_nationkey")
+    balance = F.when(owed < 0, F.lit("")).when(owed > 9000, F.lit("n/a")).otherwise(owed.cast("string"))
+    name = F.when(nation == 3, F.lit("")).otherwise(F.col("s_name"))
+    key = F.rpad(F.col("s_suppkey").cast("string"), 11, " ")
+    line = F.concat_ws(" ", key, F.rpad(balance, 8, " "), F.rpad(name, 25, " "))
     path = scratch_path(t.spark, "fixed")
-    t.supplier.select(F.when(key % 13 == 1, F.substring(line, 1, 11)).otherwise(line).alias("value")).write.text(path)
+    t.supplier.select(F.when(nation == 7, F.substring(line, 1, 11)).otherwise(line).alias("value")).write.text(path)
     spec = [("s_suppkey", 1, 11, "bigint"), ("s_acctbal", 13, 8, "double"), ("s_name", 22, 25, "string")]
     return lines.read_fixed_width(t.spark, path, spec)
 
 
 @query(
     """
-SELECT CASE WHEN p_partkey % 3 = 0 THEN 'accepted' ELSE 'mismatch' END AS kind,
+SELECT CASE WHEN p_brand LIKE 'Brand#1%' THEN 'accepted' ELSE 'mismatch' END AS kind,
        'SO' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') AS song_id, p_brand AS song_artist,
-       CASE WHEN p_partkey % 5 = 0 THEN p_name || '  -  live' ELSE p_name END AS song_title,
+       CASE WHEN p_size > 40 THEN p_name || '  -  live' ELSE p_name END AS song_title,
        'TR' || lpad(CAST(p_partkey AS VARCHAR), 16, '0') AS track_id, p_type AS track_artist, p_name AS track_title
-FROM part WHERE p_partkey % 10 <> 9"""
+FROM part WHERE p_type <> 'PROMO'"""
 )
 def parse_match_log(t: Tables) -> DataFrame:
     """Mismatches, matches accepted by hand, and lines of neither kind."""
-    key = F.col("p_partkey")
-    number = F.lpad(key.cast("string"), 16, "0")
-    title = F.when(key % 5 == 0, F.concat("p_name", F.lit("  -  live"))).otherwise(F.col("p_name"))
-    prefix = F.when(key % 10 == 9, F.lit("NOTE: ")).when(key % 3 == 0, F.lit("< ERROR: ")).otherwise(F.lit("ERROR: "))
+    number = F.lpad(F.col("p_partkey").cast("string"), 16, "0")
+    title = F.when(F.col("p_size") > 40, F.concat("p_name", F.lit("  -  live"))).otherwise(F.col("p_name"))
+    prefix = (
+        F.when(F.col("p_type") == "PROMO", "NOTE: ")
+        .when(F.col("p_brand").like("Brand#1%"), "< ERROR: ")
+        .otherwise("ERROR: ")
+    )
     line = F.concat(
         prefix,
         F.concat(F.lit("<SO"), number, F.lit(" TR"), number, F.lit("> ")),
