@@ -62,18 +62,29 @@ def confusion(pred: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def per_class_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Precision, recall and F1 of every true class, from the confusion table."""
-    table = confusion(pred, label, prediction)
-    hit = F.col("label") == F.col("prediction")
-    actual = table.groupBy("label").agg(
-        F.sum("n").alias("n"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("n_hit")
+    """Precision, recall and F1 of every true class.
+
+    Each cell of the confusion table counts once for its true and once for its
+    predicted class, so one pass over the predictions and no join will do.
+    """
+    none, n = F.lit(0).cast("bigint"), F.col("n")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+    entries = F.array(
+        F.struct(F.col("label"), n.alias("n"), hit.alias("n_hit"), none.alias("n_predicted")),
+        F.struct(F.col("prediction").alias("label"), none.alias("n"), none.alias("n_hit"), n.alias("n_predicted")),
+    )
+    counts = (
+        confusion(pred, label, prediction)
+        .select(F.inline(entries))
+        .groupBy("label")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "n_hit", "n_predicted")])
+        .filter(F.col("n") > 0)
     )
-    predicted = table.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("n_predicted"))
-    rated = (
-        actual.join(predicted, "label", "left")
-        .withColumn("n_predicted", F.coalesce("n_predicted", F.lit(0)))
-        .withColumn("precision", _ratio(F.col("n_hit"), F.col("n_predicted")))
-        .withColumn("recall", _ratio(F.col("n_hit"), F.col("n")))
+    rated = counts.withColumns(
+        {
+            "precision": _ratio(F.col("n_hit"), F.col("n_predicted")),
+            "recall": _ratio(F.col("n_hit"), F.col("n")),
+        }
     )
     return rated.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 

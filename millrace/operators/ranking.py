@@ -100,7 +100,7 @@ def number_in_class(df: DataFrame, label: str, key: str, seed: int | str, name:
 def ecdf(df: DataFrame, col: str) -> DataFrame:
     """Share of the rows at or below each distinct value."""
     steps = value_steps(df, col)
-    total = steps.agg(F.max("upto")).scalar()
+    total = steps.agg(F.sum("n")).scalar()
     return steps.select(col, "n", (F.col("upto") / total).alias("ecdf"))
 
 

@@ -50,7 +50,7 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     Reads them off the counts of the distinct values, so that no task holds the column.
     """
     steps = value_steps(df.select(F.col(col).cast("double").alias("value")), "value")
-    total = steps.agg(F.max("upto")).scalar()
+    total = steps.agg(F.sum("n")).scalar()
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     # a value is picked when one of the two ranks around a position falls among its copies
     at = F.explode(wanted).alias("prob")

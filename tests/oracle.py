@@ -76,9 +76,10 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--folder", help="other tables than the given ones")
     parser.add_argument("--all", action="store_true", help="run the queries without SQL as well")
     args = parser.parse_args()
-    folder = f"/root/testdata/sf{args.sf}"
+    folder = args.folder or f"/root/testdata/sf{args.sf}"
     spark, con = local_session(), connect(folder)
     failed = 0
     for name, query in queries().items():
