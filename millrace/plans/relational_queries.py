@@ -18,9 +18,9 @@ from millrace.sources.tables import first_n
 # ---- projection and filters
 
 
-@query("SELECT event_id, ts, user_id, event_type FROM events")
+@query("SELECT event_id, user_id, event_type FROM events")
 def select_except(t: Tables) -> DataFrame:
-    return P.select_except(t.events, ["props", "value"])
+    return P.select_except(t.events, ["ts", "props", "value"])
 
 
 @query("SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem")

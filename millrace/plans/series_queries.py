@@ -48,7 +48,7 @@ def daily_count(t: Tables) -> DataFrame:
 
 
 _REGION_SQL = """
-SELECT {keys}, ROUND(AVG(l_quantity), 6) AS mean
+SELECT {names}, ROUND(AVG(l_quantity), 6) AS mean
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
 WHERE l_returnflag = 'A' AND YEAR(l_shipdate) = 1998 AND s_nationkey < 12 GROUP BY {keys}"""
 
@@ -60,12 +60,17 @@ def _regional(t: Tables, keys: list[str]) -> DataFrame:
     return means.withColumn("mean", F.round("mean", 6))
 
 
-@query(_REGION_SQL.format(keys="l_shipdate, s_nationkey"))
+@query(
+    _REGION_SQL.format(
+        names="strftime(l_shipdate, '%Y-%m-%d') AS day, s_nationkey", keys="l_shipdate, s_nationkey"
+    )
+)
 def regional_series(t: Tables) -> DataFrame:
-    return _regional(t, ["l_shipdate", "s_nationkey"])
+    means = _regional(t, ["l_shipdate", "s_nationkey"])
+    return means.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "s_nationkey", "mean")
 
 
-@query(_REGION_SQL.format(keys="s_nationkey"))
+@query(_REGION_SQL.format(names="s_nationkey", keys="s_nationkey"))
 def regional_annual(t: Tables) -> DataFrame:
     return _regional(t, ["s_nationkey"])
 

@@ -43,8 +43,8 @@ def read_inferred_roundtrip(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT s_suppkey, CASE WHEN s_nationkey = 7 OR s_acctbal < 0 OR s_acctbal > 9000 THEN NULL ELSE s_acctbal END AS s_acctbal,
-       CASE WHEN s_nationkey IN (3, 7) THEN NULL ELSE s_name END AS s_name
+SELECT s_suppkey, CASE WHEN s_nationkey = 7 OR s_acctbal < 0 OR s_acctbal > 9000 THEN -1 ELSE s_acctbal END AS s_acctbal,
+       CASE WHEN s_nationkey IN (3, 7) THEN '-' ELSE s_name END AS s_name
 FROM supplier"""
 )
 def read_fixed_width(t: Tables) -> DataFrame:
@@ -57,7 +57,7 @@ def read_fixed_width(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "fixed")
     t.supplier.select(F.when(nation == 7, F.substring(line, 1, 11)).otherwise(line).alias("value")).write.text(path)
     spec = [("s_suppkey", 1, 11, "bigint"), ("s_acctbal", 13, 8, "double"), ("s_name", 22, 25, "string")]
-    return lines.read_fixed_width(t.spark, path, spec)
+    return lines.read_fixed_width(t.spark, path, spec).fillna({"s_acctbal": -1.0, "s_name": "-"})
 
 
 @query(

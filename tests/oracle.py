@@ -49,15 +49,14 @@ SQL_TYPES = {
 }
 
 
-def compare(spark, con, query, folder: str) -> str | None:
+def compare(con, df, sql: str) -> str | None:
     """None if equal, else what differs."""
-    df = query(spark, folder)
     declared = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
-    described = {row[0]: str(row[1]) for row in con.execute(f"DESCRIBE {query.sql}").fetchall()}
+    described = {row[0]: str(row[1]) for row in con.execute(f"DESCRIBE {sql}").fetchall()}
     if declared != described:
         return f"columns and types {declared} against {described}"
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    cursor = con.execute(query.sql)
+    cursor = con.execute(sql)
     want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if len(got[1]) != len(want[1]):
         return f"{len(got[1])} rows against {len(want[1])}"
@@ -88,7 +87,7 @@ def main() -> int:
         start = time.time()
         try:
             if query.sql:
-                problem = compare(spark, con, query, folder)
+                problem = compare(con, query(spark, folder), query.sql)
             elif args.all or args.names:
                 n = query(spark, folder).count()
                 problem = None if n else "no rows"
