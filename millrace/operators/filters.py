@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import and_, or_
 
@@ -40,7 +41,7 @@ def where_in(df: DataFrame, col: str, values: list, negate: bool = False) -> Dat
 
 def has_text(col: str) -> Column:
     """True for a flag that is set: neither null nor blank."""
-    return F.coalesce(F.trim(F.col(col)) != "", F.lit(False))
+    return F.col(col).isNotNull() & (F.trim(F.col(col)) != "")
 
 
 def where_flags(df: DataFrame, cols: list[str], mode: str = "all") -> DataFrame:
@@ -50,7 +51,16 @@ def where_flags(df: DataFrame, cols: list[str], mode: str = "all") -> DataFrame:
 
 def where_sign(df: DataFrame, col: str, sign: int) -> DataFrame:
     """Rows on one side of zero: ``sign`` -1 for below, 1 for above, 0 for zero itself."""
-    return df.filter(F.signum(col) == sign)
+    c = F.col(col)
+    return df.filter({-1: c < 0, 0: c == 0, 1: c > 0}[sign])
+
+
+def where_year(df: DataFrame, col: str, year: int) -> DataFrame:
+    """Rows of one year, put as a range or a prefix so that the scan can skip the others."""
+    c = F.col(col)
+    if dict(df.dtypes)[col] == "string":
+        return df.filter(F.startswith(c, F.lit(f"{year:04d}")))
+    return df.filter((c >= F.lit(date(year, 1, 1))) & (c < F.lit(date(year + 1, 1, 1))))
 
 
 def where_like(df: DataFrame, col: str, pattern: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
 from millrace.operators import series as S
+from millrace.operators.filters import where_year
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import edges, obs
 
@@ -55,8 +56,9 @@ WHERE l_returnflag = 'A' AND YEAR(l_shipdate) = 1998 AND s_nationkey < 12 GROUP
 
 def _regional(t: Tables, keys: list[str]) -> DataFrame:
     suppliers = t.supplier.withColumnRenamed("s_suppkey", "l_suppkey")
-    selected = (F.col("l_returnflag") == "A") & (F.year("l_shipdate") == 1998)
-    means = S.regional_daily(t.lineitem, suppliers, "l_suppkey", selected, F.col("s_nationkey") < 12, keys, "l_quantity")
+    facts = where_year(t.lineitem, "l_shipdate", 1998)
+    element, region = F.col("l_returnflag") == "A", F.col("s_nationkey") < 12
+    means = S.regional_daily(facts, suppliers, "l_suppkey", element, region, keys, "l_quantity")
     return means.withColumn("mean", F.round("mean", 6))
 
 

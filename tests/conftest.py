@@ -12,6 +12,7 @@ from millrace.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, "tests", memory="6g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.maxMetadataStringLength", "5000")  # whole filters in plans
     yield session
     session.stop()
 

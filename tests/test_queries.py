@@ -51,6 +51,11 @@ def test_filters_and_columns_reach_the_scan(spark, plan):
     text = plan(queries()["name_like"](spark, FOLDER))
     assert "StringContains(c_mktsegment,HOLD)" in text
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in text
+    text = plan(queries()["southern_stations"](spark, FOLDER))
+    assert "ReadSchema: struct<s_suppkey:bigint>" in text
+    text = plan(queries()["regional_series"](spark, FOLDER))
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in text and "LessThan(l_shipdate,1999" in text
+    assert "EqualTo(l_returnflag,A)" in text and "LessThan(s_nationkey,12)" in text
     text = plan(queries()["count_by_type"](spark, FOLDER))
     assert "ReadSchema: struct<event_type:string>" in text
 

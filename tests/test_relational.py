@@ -63,10 +63,17 @@ def test_projections(spark):
 def test_membership_and_sign(spark, rows):
     df = frame(spark, "id int, x double", (1, -1.0), (2, 0.0), (3, 2.0), (4, None))
     assert rows(P.where_in(df, "id", [1, 3], negate=True), "id") == [(2,), (4,)]
-    assert rows(P.where_sign(df, "x", -1), "id") == [(1,)]
+    assert [rows(P.where_sign(df, "x", s), "id") for s in (-1, 0, 1)] == [[(1,)], [(2,)], [(3,)]]
     assert rows(P.where_equal(df, "id", 1, negate=True), "id") == [(2,), (3,), (4,)]
 
 
+def test_rows_of_a_year(spark, rows):
+    df = frame(spark, "id int, d string", (1, "20150101"), (2, "2015-12-31"), (3, "20160101"), (4, None))
+    dated = df.withColumn("t", F.coalesce(F.try_to_date("d", "yyyyMMdd"), F.try_to_date("d", "yyyy-MM-dd")))
+    stamped = dated.withColumn("s", F.col("t").cast("timestamp_ntz"))
+    assert all(rows(P.where_year(stamped, c, 2015), "id") == [(1,), (2,)] for c in ("d", "t", "s"))
+
+
 def test_counts_fill_zero(spark, rows):
     dim = frame(spark, "code string", ("NZ",), ("AQ",))
     fact = frame(spark, "c string", ("NZ",), ("NZ",), ("XX",))

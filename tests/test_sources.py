@@ -82,7 +82,9 @@ def test_writing(spark, tmp_path, rows):
     tables.write_table(df, path + "_text", format="text")
     assert rows(lines.read_lines(spark, path + "_text")) == [("a\t1",), ("b\t2",)]
     tables.write_table(df, path + "_by", partition_by=["k"])
-    assert spark.read.parquet(path + "_by/k=a").count() == 1
+    by_key = tables.read_table(spark, path + "_by").filter("k = 'a'")
+    assert by_key.count() == 1 and len(by_key.inputFiles()) == 2
+    assert "PartitionFilters: [isnotnull(k" in by_key._jdf.queryExecution().executedPlan().toString()
 
 
 def test_profile_and_peek(spark, rows):
