@@ -17,7 +17,7 @@ from millrace.llm.queries import remainder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with words in a language of the corpus, most of them in one."""
+    """Documents with words in a language of the corpus, and enough of them in one."""
     return langid.keep_known(docs, langid.fit(docs, remainder(F.col("doc_id"), 3) != 1))
 
 

@@ -332,7 +332,7 @@ def _known(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: floa
         yield batch.filter(pa.array(keep.astype(bool)))
 
 
-def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """The documents in a language that the model knows, one of at least ``least`` of their words, with all columns."""
     at = docs.columns.index("text")
     return docs.mapInArrow(partial(_known, model=model, at=at, least=least), docs.schema)

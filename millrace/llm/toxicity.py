@@ -1,7 +1,7 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-The features of a text are its distinct words, word pairs, pairs with one word between,
-and triples, hashed into ``BUCKETS``. The learner sees one labelled text after the other
+The features of a text are its distinct words and their stems (the first four and five
+bytes), word pairs, pairs with one word between, and triples, hashed into ``BUCKETS``. The learner sees one labelled text after the other
 and keeps two sums per coordinate, so that each coordinate has its own learning rate and
 L1 leaves only the weights that earn their keep; those are all that is broadcast.
 
@@ -35,6 +35,7 @@ BIAS = 0  # this coordinate is in every text and free of L1
 
 WEIGHT_SCHEMA = "coordinate int, weight double"
 _SALTS = [np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F)]
+STEMS = (4, 5)
 
 
 def _grams(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -46,6 +47,13 @@ def _grams(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         return (mix(values) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1
 
     yield bucket(h), text
+    stem = np.zeros(len(h), np.uint64)
+    for k in range(max(STEMS)):
+        there = words.starts + k < words.ends
+        byte = ALNUM[words.data[np.where(there, words.starts + k, 0)]] if len(h) else stem
+        stem = (stem + np.where(there, byte, 0).astype(np.uint64)) * _SALTS[2]
+        if k + 1 in STEMS:
+            yield bucket(stem + np.uint64(k)), text
     for k, salt in ((1, _SALTS[0]), (2, _SALTS[1])):  # neighbours, and those with one word between
         same = text[:-k] == text[k:]
         yield bucket(h[:-k] * salt + h[k:])[same], text[k:][same]
