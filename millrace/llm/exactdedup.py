@@ -57,7 +57,7 @@ def _reduce_sorted(batches: Iterator[pa.RecordBatch], leaf: int | None) -> Itera
     """One entry per key of rows sorted by key and identifier; the first has the smallest one."""
     held: pa.Table | None = None  # the last key's entry, which may go on in the next batch
     for batch in batches:
-        table = pa.Table.from_batches([batch])
+        table = pa.Table.from_arrays(batch.columns, batch.schema.names)  # without "not null"
         if held is not None:
             table = pa.concat_tables([held, table])
         if not table.num_rows:
