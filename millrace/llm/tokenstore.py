@@ -23,6 +23,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -40,13 +41,18 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2048
-REMEMBERED = 1 << 19  # distinct words that a worker keeps
-JOINED = 512  # words that are encoded in one call
+REMEMBERED = 3 << 18  # distinct words that a worker keeps
+JOINED = 512  # words that are encoded as one text
+BATCH_BYTES = 4 << 20  # text that is encoded at once: the distinct words of more text are relatively fewer
 
 TOKEN_SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("tokens", pa.list_(pa.int32()))])
 
 
+# Words whose tokens are the same wherever a word or a line ends before them and another begins after them.
+_PLAIN = re.compile(r" ?\S(?:[^\n]*\S)?")
+
+
 class WordEncoder:
     """Encodes texts word by word, with the result of the tokenizer for the whole text.
 
@@ -61,8 +67,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, int] = {}
-        self.table: list[np.ndarray] = []
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)  # byte-level tokens have a letter for each byte
+        self._forget()
         visible = np.zeros(256, bool)
         visible[0x21:0x7F] = True
         self.visible = visible.copy()
@@ -84,28 +93,39 @@ class WordEncoder:
         cut[offsets] = True
         return np.flatnonzero(cut)
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode words that aren't known yet, many in one call where they begin with a blank."""
-        special = [s.encode() for s in self.special]
-        together = [w[:1] == b" " and self.begins[w[1]] if len(w) > 1 else False for w in words]
-        together = [ok and not any(s in w for s in special) for w, ok in zip(words, together, strict=True)]
-        joined = [w for w, ok in zip(words, together, strict=True) if ok]
-        single = [w for w, ok in zip(words, together, strict=True) if not ok]
-        groups = [[w.decode() for w in joined[i : i + JOINED]] for i in range(0, len(joined), JOINED)]
-        for group, found in zip(groups, self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.int32)
-            starts = np.array([low for low, _ in found.offsets], np.int64)
-            ends = np.cumsum([len(w) for w in group])
-            bounds = np.searchsorted(starts, np.append(0, ends), "left")
-            for word, low, high in zip(group, bounds[:-1], bounds[1:], strict=True):
-                self._keep(word.encode(), ids[low:high])
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in single], add_special_tokens=False)
-        for word, own in zip(single, found, strict=True):
-            self._keep(word, np.array(own.ids, np.int32))
-
-    def _keep(self, word: bytes, ids: np.ndarray) -> None:
-        self.known[word] = len(self.table)
-        self.table.append(ids)
+    def _learn(self, words: list[bytes], special: bool) -> None:
+        """Encode words that aren't known yet; plain ones as one text, which the ids' lengths take apart."""
+        texts = [word.decode() for word in words]
+        plain = [_PLAIN.fullmatch(text) is not None for text in texts]
+        if special:
+            plain = [ok and not any(s in text for s in self.special) for ok, text in zip(plain, texts, strict=True)]
+        joined = [i for i, ok in enumerate(plain) if ok]
+        groups = []
+        for low in range(0, len(joined), JOINED):
+            own = [texts[i] for i in joined[low : low + JOINED]]
+            groups.append("".join([text if text[0] == " " else "\n" + text for text in own]))
+        for n, encoding in enumerate(self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)):
+            own = [words[i] for i in joined[n * JOINED : (n + 1) * JOINED]]
+            ids = np.array(encoding.ids, np.int32)
+            line = np.array([word[0] != 0x20 for word in own])
+            ends = np.cumsum([len(word) for word in own] + line)  # in bytes, with the line ends put before
+            bounds = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "left") + 1
+            firsts = np.append(0, bounds[:-1])
+            self._keep(np.delete(ids, firsts[line]), bounds - firsts - line)
+        others = [text for text, ok in zip(texts, plain, strict=True) if not ok]
+        for encoding in self.tokenizer.encode_batch_fast(others, add_special_tokens=False):
+            self._keep(np.array(encoding.ids, np.int32), np.array([len(encoding.ids)]))
+        for i in joined + [i for i, ok in enumerate(plain) if not ok]:
+            self.known[words[i]] = len(self.known)
+
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.sizes.append(sizes)
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}  # numbers in the order of ids and sizes
+        self.ids: list[np.ndarray] = [np.zeros(0, np.int32)]
+        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the bounds of each text's."""
@@ -122,20 +142,19 @@ class WordEncoder:
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
-            self.known, self.table = {}, []
-        unknown = [word for word in distinct if word not in self.known]
+            self._forget()
+        known = self.known
+        unknown = [word for word in distinct if word not in known]
         if unknown:
-            self._learn(unknown)
-        ids = [self.table[self.known[word]] for word in distinct]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate(ids)
+            self._learn(unknown, bool(whole.any()))
+            self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
+        sizes = self.sizes[0]
         firsts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
+        codes = np.array([known[word] for word in distinct], np.int64)[coded.indices.to_numpy()]
         lengths = sizes[codes]
         ends = np.cumsum(lengths)
-        within = np.arange(int(ends[-1])) - np.repeat(ends - lengths, lengths)
-        out = flat[np.repeat(firsts[codes], lengths) + within]
-        return out, np.append(0, ends)[np.searchsorted(cuts, offsets)]
+        places = np.arange(int(ends[-1])) + np.repeat(firsts[codes] - ends + lengths, lengths)
+        return self.ids[0][places], np.append(0, ends)[np.searchsorted(cuts, offsets)]
 
 
 _encoders: dict[str, WordEncoder] = {}  # of this worker
@@ -146,7 +165,7 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> I
         _encoders[tokenizer] = WordEncoder(tokenizer)
     encoder = _encoders[tokenizer]
     for batch in batches:
-        for low, piece in pieces(string_array(batch.column(1))):
+        for low, piece in pieces(string_array(batch.column(1)), BATCH_BYTES):
             ids, bounds = encoder.encode(piece)
             out = np.insert(ids, bounds[1:], end_id)
             bounds = bounds + np.arange(len(bounds))
