@@ -12,7 +12,10 @@ frequent shingles, and the ``HEAVY`` most frequent of all go to the tasks.
 2. *Filter.* Groups that share a prefix shingle are a list; lists break where the size
    jumps by more than a third, and equal lists count once.
 3. *Expand and verify.* Lists are expanded to nodes. In round ``k`` every open list has
-   about ``8 ** k`` pivots, which are verified against its other nodes on the whole texts.
+   about ``8 ** k`` pivots, which are compared with its other nodes. First by bitmaps, of a
+   few bits a shingle, each flipped by the shingles that hash to it: bitmaps that differ in
+   more places than similar sets have different shingles rule a pair out for certain. What
+   remains is verified on the whole texts, which only these nodes need.
    Linked nodes join components; a list is closed when all its nodes are of one component
    or every pair of different components has been verified. Lists up to ``SHORT`` nodes
    are finished in the second round. A list of near copies of one text, however long, is
@@ -33,6 +36,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +54,7 @@ CHUNK = 1 << 21  # shingles gathered before a task reports or sends
 SLOT = 1 << 19  # prefix shingles per group of lists, about
 SHORT = 64  # lists up to this length are verified at once, pair by pair
 SPLIT = 1 << 19  # postings of a frequent shingle that may meet in one task
+SENT = 100_000  # nodes whose texts are asked for by a broadcast, of less than 100 bytes each; more by a shuffle
 
 _DOC = pa.schema(
     [
@@ -57,11 +62,12 @@ _DOC = pa.schema(
         ("text_key", pa.string()),
         ("n", pa.int64()),
         ("node_key", pa.binary()),
+        ("bitmap", pa.binary()),
         ("token", pa.int64()),
         ("count", pa.int64()),
     ]
 )
-DOC_SCHEMA = "doc_id long, text_key string, n long, node_key binary, token long, count long"
+DOC_SCHEMA = "doc_id long, text_key string, n long, node_key binary, bitmap binary, token long, count long"
 _BLOB = pa.schema(
     [
         ("slot", pa.int64()),
@@ -88,6 +94,13 @@ def _digest(*parts: bytes) -> bytes:
     return hashlib.blake2b(b"".join(parts), digest_size=_KEY_BYTES).digest()
 
 
+def _bitmap(own: np.ndarray) -> bytes:
+    """Parities of how many shingles hash to each of 2 to 4 bits per shingle, a power of two of them."""
+    bits = 1 << max(6, (2 * len(own) - 1).bit_length())
+    counts = np.bincount((own >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
 def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch | None:
     """The shingles that most of these documents share."""
     tokens = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
@@ -97,7 +110,7 @@ def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch | None:
     often = often[np.argsort(-counts[often], kind="stable")[:REPORTED]]
     if not len(often):
         return None
-    nothing = [pa.nulls(len(often), field.type) for field in _DOC][:4]
+    nothing = [pa.nulls(len(often), field.type) for field in _DOC][:5]
     found = [pa.array(tokens[starts[often]].view(np.int64)), pa.array(counts[often])]
     return pa.RecordBatch.from_arrays([*nothing, *found], schema=_DOC)
 
@@ -106,9 +119,10 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with its node, and rows with frequent shingles."""
     gathered, held = [], 0
     for batch in batches:
-        sizes, keys = [], []
+        sizes, keys, bitmaps = [], [], []
         for _, own in _sets(batch, 2):
             sizes.append(len(own))
+            bitmaps.append(_bitmap(own))
             keys.append(_digest(own.tobytes()))
             gathered.append(own)
             held += len(own)
@@ -117,7 +131,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield report
                 gathered, held = [], 0
         nothing = pa.nulls(len(sizes), pa.int64())
-        columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())]
+        columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bitmaps, pa.binary())]
         columns[1] = string_array(columns[1])
         yield pa.RecordBatch.from_arrays([*columns, nothing, nothing], schema=_DOC)
     if (report := _frequent(gathered)) is not None:
@@ -274,6 +288,27 @@ def _lists(key: tuple, table: pa.Table, slots: int) -> pa.Table:
     )
 
 
+def _rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, sizes and bitmaps of both) -> (a, b) that may be similar.
+
+    Similar sets differ in a seventh of the sum of their sizes at most, and bitmaps in no
+    more places than sets. A longer bitmap is folded to the length of the other.
+    """
+    for batch in batches:
+        rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+        near = []
+        for m, n, left, right in rows:
+            x, y = int.from_bytes(left, "little"), int.from_bytes(right, "little")
+            long, short = 8 * len(left), 8 * len(right)
+            if long < short:
+                x, y, long, short = y, x, short, long
+            while long > short:
+                long //= 2
+                x = (x >> long) ^ (x & ((1 << long) - 1))
+            near.append(7 * (x ^ y).bit_count() <= m + n)
+        yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> (a, b) whose sets are similar enough."""
     for batch in batches:
@@ -294,12 +329,30 @@ def _text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of nodes that are similar, each verified on the whole texts."""
+def _may_link(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs of nodes whose bitmaps don't rule them out."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bitmap").alias("bitmap_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bitmap").alias("bitmap_b"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
+    return both.mapInArrow(_rule_out, "a long, b long")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs of nodes that are similar, each verified on the whole texts in ``rows``."""
+    pairs = materialise(_may_link(pairs, nodes), "near")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    need = need.select("node", F.col("first.doc_id").alias("need_id"), F.col("first.text_key").alias("need_key"))
+    need = materialise(need, "need")
+    if need.isEmpty():
+        return pairs
+    need = F.broadcast(need) if need.count() <= SENT else need
+    same = rows["doc_id"].eqNullSafe(F.col("need_id")) & (rows["text_key"] == F.col("need_key"))
+    texts = rows.join(need, same).groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialise(texts, "texts")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify, "a long, b long")
+    return materialise(both.mapInArrow(_verify, "a long, b long"), "links")
 
 
 def _similar_size(m: str, n: str) -> Column:
@@ -313,19 +366,17 @@ def _candidates(entries: DataFrame, others: DataFrame, more: Column) -> DataFram
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
-def _all_links(entries: DataFrame, texts: DataFrame) -> DataFrame:
+def _all_links(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links enough to join all nodes that are reachable by links. ``entries``: (token, part, node, n)."""
     differ = (F.col("component") != F.col("component_b")) & (F.col("node") != F.col("node_b"))
     least = materialise(entries.groupBy("token", "part").agg(F.min_by(F.struct("node", "n"), "node").alias("p")), "pivots")
     least = least.select("token", "part", "p.node", "p.n").withColumn("component", F.col("node"))
     rows = entries.withColumn("component", F.col("node"))
     checked = materialise(_candidates(rows, least, F.col("node") != F.col("node_b")), "pairs")
-    links = materialise(_linked(checked, texts), "links")
+    links = _linked(checked, nodes, docs)
     first = least.select("token", "part", F.col("node").alias("pivot"))
     rows = materialise(entries.join(first, ["token", "part"]).where("node != pivot").drop("pivot"), "entries")
-    turn = 0
-    while True:
-        turn += 1
+    for turn in count(1):
         found = materialise(components(links, "a", "b"), "components")
         rows = rows.select("token", "part", "node", "n").join(found, "node", "left")
         rows = materialise(rows.withColumn("component", F.coalesce("component", "node")), "entries")
@@ -343,9 +394,11 @@ def _all_links(entries: DataFrame, texts: DataFrame) -> DataFrame:
         is_pivot = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node", F.lit(turn)), every) == 0)
         pairs = pairs.unionByName(_candidates(long, long.where(is_pivot), differ)).distinct()
         pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(materialise(_linked(pairs, texts), "links"))
+        links = links.unionByName(_linked(pairs, nodes, docs))
         checked = checked.unionByName(pairs)
-        rows = long.where(~is_pivot)
+        rows = materialise(long.where(~is_pivot), "entries")
+        if rows.isEmpty():
+            return links
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,7 +424,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lists = materialise(lists, "lists")
 
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    nodes = per_doc.where("n > 0").groupBy("node_key").agg(F.min("n").alias("n"), smallest.alias("first"))
+    nodes = per_doc.where("n > 0").groupBy("node_key").agg(
+        F.min("n").alias("n"), smallest.alias("first"), F.first("bitmap").alias("bitmap")
+    )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = lists.where("token IS NULL").select("gid", "node_key").join(nodes.select("node_key", "node", "n"), "node_key")
     alone = lists.where("part = -1 AND token IS NOT NULL").join(nodes.select("node_key", "node", "n"), "node_key")
@@ -379,13 +434,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     entries = entries.select("token", "part", "node", "n").unionByName(alone.select("token", "part", "node", "n"))
     entries = materialise(entries.distinct(), "entries")
 
-    need = materialise(entries.select("node").distinct().join(nodes, "node").select("node", "first.doc_id", "first.text_key"), "need")
-    wanted = need.select("node", F.col("doc_id").alias("need_id"), F.col("text_key").alias("need_key"))
-    same = rows["doc_id"].eqNullSafe(F.col("need_id")) & (rows["text_key"] == F.col("need_key"))
-    texts = rows.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialise(texts, "texts")
-
-    found = materialise(components(_all_links(entries, texts), "a", "b"), "components")
+    found = materialise(components(_all_links(entries, nodes, rows), "a", "b"), "components")
     of_node = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_component = materialise(of_node.groupBy("component").agg(F.min("first").alias("head")), "heads")
     of_node = materialise(of_node.join(of_component, "component").select("node_key", "head"), "of_node")
