@@ -28,7 +28,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         stars = both.join(materialise(least, "least"), "u").where("v > u")
-        edges = materialise(stars.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        edges = materialise(stars.select(F.col("v").alias("u"), F.col("m").alias("v")), "edges")
         least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         stars = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = stars.unionByName(least.select("u", F.col("m").alias("v")))

@@ -10,16 +10,19 @@ frequent shingles, and the ``HEAVY`` most frequent of all go to the tasks.
 1. *Group.* Documents with equal shingle sets are one node; nodes with equal size and
    prefix are one group. Groups are told by their content, so a task sends a group once.
 2. *Filter.* Groups that share a prefix shingle are a list; lists break where the size
-   jumps by more than a third, and equal lists count once.
-3. *Expand and verify.* Lists are expanded to nodes. In round ``k`` every open list has
-   about ``8 ** k`` pivots, which are compared with its other nodes. First by bitmaps, of a
+   jumps by more than a third, and equal lists count once, with the least places. A pair
+   is only taken from a list if enough shingles come after the shared one in both: for
+   the first shingle that two similar sets share, there are.
+3. *Expand and verify.* Lists are expanded to nodes. In the first round each node is compared
+   with the first node of the longest list it is in; in round ``k`` after it, every open list
+   has ``8 ** (k - 1)`` pivots, about, which are compared with its nodes of other components. First by bitmaps, of a
    few bits a shingle, each flipped by the shingles that hash to it: bitmaps that differ in
    more places than similar sets have different shingles rule a pair out for certain. What
    remains is verified on the whole texts, which only these nodes need.
    Linked nodes join components; a list is closed when all its nodes are of one component
    or every pair of different components has been verified. Lists up to ``SHORT`` nodes
-   are finished in the second round. A list of near copies of one text, however long, is
-   thus closed after one round that is linear in its length, and no link that joins two
+   are finished in the third round. Lists of near copies of one text, however long and many,
+   are thus closed after rounds that are linear in the nodes, and no link that joins two
    components is lost.
 
 A pivot's list is a join of two written tables, which adaptive execution can split, and
@@ -48,11 +51,11 @@ from millrace.llm.components import components
 from millrace.llm.text import NONBLANK, mix, pieces, shingles, split_words, string_array
 
 WORDS = 5
-HEAVY = 1 << 14  # frequent shingles that every task knows: 16 bytes each
-REPORTED = 1 << 12  # frequent shingles that a task reports per CHUNK
-CHUNK = 1 << 21  # shingles gathered before a task reports or sends
+HEAVY = 1 << 17  # frequent shingles that every task knows at most: 24 bytes each
+REPORTED = 1 << 14  # frequent shingles that a task reports per CHUNK
+CHUNK = 1 << 20  # shingles gathered before a task reports or sends
 SLOT = 1 << 19  # prefix shingles per group of lists, about
-SHORT = 64  # lists up to this length are verified at once, pair by pair
+SHORT = 16  # lists up to this length are verified at once, pair by pair
 SPLIT = 1 << 19  # postings of a frequent shingle that may meet in one task
 SENT = 100_000  # nodes whose texts are asked for by a broadcast, of less than 100 bytes each; more by a shuffle
 
@@ -75,11 +78,12 @@ _BLOB = pa.schema(
         ("gids", pa.binary()),
         ("sizes", pa.binary()),
         ("counts", pa.binary()),
+        ("places", pa.binary()),
         ("keys", pa.binary()),
     ]
 )
-BLOB_SCHEMA = "slot long, tokens binary, gids binary, sizes binary, counts binary, keys binary"
-LIST_SCHEMA = "token long, part long, gid long, node_key binary"
+BLOB_SCHEMA = "slot long, tokens binary, gids binary, sizes binary, counts binary, places binary, keys binary"
+LIST_SCHEMA = "token long, part long, gid long, place long, node_key binary"
 _KEY_BYTES = 16
 
 
@@ -181,6 +185,8 @@ class _Postings:
         gids = np.array(list(self.groups), np.uint64)
         tokens = np.concatenate(self.tokens)
         owner = np.repeat(np.arange(len(gids)), [len(t) for t in self.tokens])
+        places = [(np.arange(len(t)) * 256 // n).astype(np.uint8) for t, n in zip(self.tokens, self.sizes, strict=True)]
+        places = np.concatenate(places)  # in 256ths of the set, rounded down
         slot = (tokens % np.uint64(self.slots)).astype(np.int64)
         if len(self.heavy):  # the postings of very frequent shingles are dealt by group
             at = np.minimum(np.searchsorted(self.heavy, tokens), len(self.heavy) - 1)
@@ -190,7 +196,7 @@ class _Postings:
             away = (mix(tokens[dealt] + part) >> np.uint64(2)).astype(np.int64)
             slot[dealt] = 2 * self.slots + away % (1 << 60)
         order = np.argsort(slot, kind="stable")
-        slot, tokens, owner = slot[order], tokens[order], owner[order]
+        slot, tokens, owner, places = slot[order], tokens[order], owner[order], places[order]
         sizes = np.array(self.sizes, np.uint32)
         starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
         rows = []
@@ -204,6 +210,7 @@ class _Postings:
                     "gids": gids[own].tobytes(),
                     "sizes": sizes[own].tobytes(),
                     "counts": counts.tobytes(),
+                    "places": places[low:high].tobytes(),
                 }
             )
         by_slot: dict[int, list[tuple[int, bytes]]] = {}
@@ -250,39 +257,46 @@ def _lists(key: tuple, table: pa.Table, slots: int) -> pa.Table:
                 "token": pa.array(token, mask=empty),
                 "part": pa.array(np.full(len(token), -1), pa.int64()),
                 "gid": pa.array(np.concatenate([ids[several], ids])),
+                "place": pa.array(np.zeros(len(token), np.int64)),
                 "node_key": pa.concat_arrays([own.filter(pa.array(several)), own]),
             }
         )
     counts = _numbers(table["counts"], np.uint32)
     gids, sizes = np.repeat(gids, counts), np.repeat(_numbers(table["sizes"], np.uint32), counts).astype(np.int64)
     tokens = _numbers(table["tokens"], np.uint64)
+    places = _numbers(table["places"], np.uint8) * sizes // 256
     if slot < slots:
         order = np.argsort(tokens, kind="stable")
         run = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))
-        shared = np.repeat(np.diff(np.append(run, len(tokens))) > 1, np.diff(np.append(run, len(tokens))))
-        order = order[shared]
-        tokens, gids, sizes = tokens[order], gids[order], sizes[order]
+        lengths = np.diff(np.append(run, len(tokens)))
+        order = order[np.repeat(lengths > 1, lengths)]
+        tokens, gids, sizes, places = tokens[order], gids[order], sizes[order], places[order]
     order = np.lexsort((gids, sizes, tokens))
-    tokens, gids, sizes = tokens[order], gids[order], sizes[order]
+    tokens, gids, sizes, places = tokens[order], gids[order], sizes[order], places[order]
     new = np.append(True, (tokens[1:] != tokens[:-1]) | (gids[1:] != gids[:-1]))[: len(tokens)]
-    tokens, gids, sizes = tokens[new], gids[new], sizes[new]
+    tokens, gids, sizes, places = tokens[new], gids[new], sizes[new], places[new]
     part = np.full(len(tokens), -2, np.int64)
     if slot < slots and len(tokens):
         cut = np.append(True, (tokens[1:] != tokens[:-1]) | (4 * sizes[:-1] < 3 * sizes[1:]))
         starts = np.flatnonzero(cut)
         lengths = np.diff(np.append(starts, len(tokens)))
         sums = [np.add.reduceat(mix(gids + np.uint64(salt)), starts) for salt in (1, 2)]
-        _, firsts = np.unique(np.stack([*sums, lengths.astype(np.uint64)], axis=1), axis=0, return_index=True)
+        content = np.stack([*sums, lengths.astype(np.uint64)], axis=1)
+        _, firsts, which = np.unique(content, axis=0, return_index=True, return_inverse=True)
+        same = np.repeat(starts[firsts[which.ravel()]] - starts, lengths) + np.arange(len(tokens))
+        least = places.copy()
+        np.minimum.at(least, same, places)
         keep = np.zeros(len(starts), bool)
         keep[firsts] = True
         keep = np.repeat(keep & (lengths > 1), lengths)
         part = np.repeat(sizes[starts], lengths)[keep]
-        tokens, gids = tokens[keep], gids[keep]
+        tokens, gids, places = tokens[keep], gids[keep], least[keep]
     return pa.table(
         {
             "token": tokens.view(np.int64),
             "part": part,
             "gid": gids.view(np.int64),
+            "place": places.astype(np.int64),
             "node_key": pa.nulls(len(tokens), pa.binary()),
         }
     )
@@ -361,37 +375,45 @@ def _similar_size(m: str, n: str) -> Column:
 
 def _candidates(entries: DataFrame, others: DataFrame, more: Column) -> DataFrame:
     """Distinct pairs of a list's nodes of similar size that satisfy ``more``."""
-    b = others.select("token", "part", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
-    pairs = entries.join(b, ["token", "part"]).where(_similar_size("n", "n_b") & more)
+    b = others.select("token", "part", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component")])
+    left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))  # the shared one and those after it
+    enough = 7 * left >= 3 * (F.col("n") + F.col("n_b"))
+    pairs = entries.join(b, ["token", "part"]).where(_similar_size("n", "n_b") & enough & more)
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
+def _of_lists(rows: DataFrame) -> DataFrame:
+    component = [F.min("component").alias("low"), F.max("component").alias("high")] if "component" in rows.columns else []
+    first = F.min_by(F.struct("node", "n"), "node").alias("first")
+    return rows.groupBy("token", "part").agg(F.count("*").alias("length"), first, *component)
+
+
 def _all_links(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links enough to join all nodes that are reachable by links. ``entries``: (token, part, node, n)."""
+    """Links enough to join all nodes that are reachable by links. ``entries``: (token, part, node, n, place)."""
     differ = (F.col("component") != F.col("component_b")) & (F.col("node") != F.col("node_b"))
-    least = materialise(entries.groupBy("token", "part").agg(F.min_by(F.struct("node", "n"), "node").alias("p")), "pivots")
-    least = least.select("token", "part", "p.node", "p.n").withColumn("component", F.col("node"))
-    rows = entries.withColumn("component", F.col("node"))
-    checked = materialise(_candidates(rows, least, F.col("node") != F.col("node_b")), "pairs")
+    lists = materialise(_of_lists(entries), "lists")
+    longest = F.max(F.struct("length", "first")).alias("l")
+    pairs = entries.join(lists, ["token", "part"]).groupBy("node").agg(F.min("n").alias("n"), longest)
+    pairs = pairs.where(F.col("node") != F.col("l.first.node")).where(_similar_size("n", "l.first.n"))
+    pairs = pairs.select(F.least("node", "l.first.node").alias("a"), F.greatest("node", "l.first.node").alias("b"))
+    checked = materialise(pairs.distinct(), "pairs")
     links = _linked(checked, nodes, docs)
-    first = least.select("token", "part", F.col("node").alias("pivot"))
-    rows = materialise(entries.join(first, ["token", "part"]).where("node != pivot").drop("pivot"), "entries")
+    rows = entries
     for turn in count(1):
         found = materialise(components(links, "a", "b"), "components")
-        rows = rows.select("token", "part", "node", "n").join(found, "node", "left")
+        rows = rows.select("token", "part", "node", "n", "place").join(found, "node", "left")
         rows = materialise(rows.withColumn("component", F.coalesce("component", "node")), "entries")
-        of_list = rows.groupBy("token", "part").agg(
-            F.count("*").alias("length"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("first")
-        )
-        unfinished = materialise(of_list.where("low < high").drop("low", "high"), "lists")
-        if unfinished.isEmpty():
-            return links
+        unfinished = materialise(_of_lists(rows).where("low < high").drop("low", "high"), "lists")
         rows = materialise(rows.join(unfinished, ["token", "part"]), "entries")
-        short = rows.where(F.col("length") <= SHORT)
+        if rows.isEmpty():
+            return links
+        small = F.col("length") <= (SHORT if turn > 1 else 2)
+        short, long = rows.where(small), rows.where(~small)
         pairs = _candidates(short, short, differ & (F.col("node") < F.col("node_b")))
-        long = rows.where(F.col("length") > SHORT)
-        every = F.ceil(F.col("length") / F.lit(8**turn))
-        is_pivot = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node", F.lit(turn)), every) == 0)
+        is_pivot = F.col("node") == F.col("first.node")
+        if turn > 1:
+            every = F.ceil(F.col("length") / F.lit(8 ** (turn - 1)))
+            is_pivot = is_pivot | (F.pmod(F.xxhash64("node", F.lit(turn)), every) == 0)
         pairs = pairs.unionByName(_candidates(long, long.where(is_pivot), differ)).distinct()
         pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(_linked(pairs, nodes, docs))
@@ -410,11 +432,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     per_doc = described.where("node_key IS NOT NULL").drop("token", "count")
 
     frequent = described.where("token IS NOT NULL").groupBy("token").agg(F.sum("count").alias("count"))
-    known = frequent.orderBy(F.desc("count"), "token").limit(HEAVY).collect()
+    frequent = materialise(frequent, "frequent")
+    least, held = 0, 0
+    for row in frequent.groupBy("count").agg(F.count("*").alias("n")).orderBy(F.desc("count")).collect():
+        held += row["n"]
+        if held > HEAVY:
+            break
+        least = row["count"]
+    known = frequent.where((F.col("count") >= least) & F.lit(least > 0)).orderBy("count", "token").collect()
     heavy = np.array([r["token"] for r in known], np.int64).view(np.uint64)
     by_hash = np.argsort(heavy)
     counts = np.array([r["count"] for r in known], np.int64)[by_hash]
-    heavy, rank, spread = heavy[by_hash], len(heavy) - by_hash, -(-counts // SPLIT)  # the most frequent last
+    heavy, rank, spread = heavy[by_hash], by_hash, -(-counts // SPLIT)  # the most frequent last
     total = per_doc.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
     slots = max(1, -(-int(total) // SLOT))
     blobs = rows.select("text").mapInArrow(
@@ -431,7 +460,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     members = lists.where("token IS NULL").select("gid", "node_key").join(nodes.select("node_key", "node", "n"), "node_key")
     alone = lists.where("part = -1 AND token IS NOT NULL").join(nodes.select("node_key", "node", "n"), "node_key")
     entries = lists.where("token IS NOT NULL AND part != -1").drop("node_key").join(members.drop("node_key"), "gid")
-    entries = entries.select("token", "part", "node", "n").unionByName(alone.select("token", "part", "node", "n"))
+    columns = ["token", "part", "node", "n", "place"]
+    entries = entries.select(columns).unionByName(alone.select(columns))
     entries = materialise(entries.distinct(), "entries")
 
     found = materialise(components(_all_links(entries, nodes, rows), "a", "b"), "components")
