@@ -123,7 +123,7 @@ def shingles(words: Words, k: int = 5) -> list[np.ndarray]:
     left = np.repeat(words.bounds[1:], counts) - np.arange(n)  # words from here to the end of the text
     weights = _powers(k + 1)
     total = np.zeros(n, np.uint64)
-    for j in range(k):
+    for j in range(min(k, n)):
         shifted = np.zeros(n, np.uint64)
         shifted[: n - j] = words.hashes[j:]
         total += np.where(left > j, shifted, np.uint64(0)) * weights[j]
