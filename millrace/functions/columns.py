@@ -66,9 +66,10 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 
 def key_hash(key: ColumnLike | list[ColumnLike], seed: int | str) -> Column:
-    """Hex digest of the seed and the key columns."""
+    """Hex digest of the seed and the key columns; nulls and colons within them don't make keys alike."""
     keys = key if isinstance(key, list) else [key]
-    parts = [_col(k).cast("string") for k in keys]
+    escape = lambda c: F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+    parts = [F.coalesce(escape(_col(k).cast("string")), F.lit("\\0")) for k in keys]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 

@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):  # local-cluster has executors
             raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="millrace-")
     if not context.getCheckpointDir():

@@ -44,8 +44,11 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def auroc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve, exact: the chance that a positive outscores a negative, ties half."""
-    steps = value_steps(df, score, {"positives": F.when(F.col(label) == 1, 1).otherwise(0)})
+    """Area under the ROC curve, exact: the chance that a positive outscores a negative, ties half.
+
+    Rows without a label don't count.
+    """
+    steps = value_steps(df.filter(F.col(label).isNotNull()), score, {"positives": F.when(F.col(label) == 1, 1).otherwise(0)})
     negatives = F.col("n") - F.col("positives")
     below = F.col("upto") - F.col("positives_upto") - negatives
     won = F.sum(F.col("positives") * (below + negatives / F.lit(2.0)))
@@ -144,10 +147,17 @@ def ndcg_at(df: DataFrame, k: int, recommended: str = "recommended", relevant: s
 def mean_average_precision(df: DataFrame, recommended: str = "recommended", relevant: str = "relevant") -> DataFrame:
     """Precision at each hit, summed over the list, out of the number of relevant items."""
     hit = F.transform(F.col(recommended), lambda x: F.array_contains(F.col(relevant), x).cast("int"))
-    at_hits = F.transform(
+    start = F.struct(F.lit(0).alias("rank"), F.lit(0).alias("hits"), F.lit(0.0).alias("total"))
+    summed = F.aggregate(
         hit,
-        lambda h, i: h * F.aggregate(F.slice(hit, F.lit(1), i + 1), F.lit(0), lambda a, b: a + b) / (i + F.lit(1.0)),
+        start,
+        lambda seen, h: F.struct(
+            (seen["rank"] + 1).alias("rank"),
+            (seen["hits"] + h).alias("hits"),
+            (seen["total"] + h * (seen["hits"] + h) / (seen["rank"] + F.lit(1.0))).alias("total"),
+        ),
+        lambda seen: seen["total"],
     )
     n_relevant = F.size(F.array_distinct(relevant))
-    score = F.when(n_relevant > 0, _total(at_hits) / n_relevant).otherwise(F.lit(0.0))
+    score = F.when(n_relevant > 0, summed / n_relevant).otherwise(F.lit(0.0))
     return df.agg(F.avg(score).alias("map"))

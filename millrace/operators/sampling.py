@@ -77,8 +77,8 @@ def stratified_split_exact(df: DataFrame, label: str, frac: float, key: str, see
 
 
 def downsample(df: DataFrame, label: str, majority, ratio: float, key: str, seed: int | str) -> DataFrame:
-    """Thin the majority class to about ``ratio`` times the size of all other rows."""
-    is_major = F.col(label) == majority
+    """Thin the majority class to about ``ratio`` times the size of all other rows, those without a label included."""
+    is_major = F.col(label).eqNullSafe(F.lit(majority))
     n_major, n_minor = df.agg(F.count_if(is_major), F.count_if(~is_major)).first()
     if not n_major:
         return df

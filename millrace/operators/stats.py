@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import value_steps
@@ -70,11 +68,15 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlations as (a, b, corr) rows; only the k by k matrix reaches the driver."""
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
-    matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-    rows = [(a, b, float(matrix[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+    """Pearson correlations as (a, b, corr) rows, each over the rows that have both values; one pass."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}") for i, j in pairs])
+    both = pairs + [(j, i) for i, j in pairs if i != j]
+    cells = [
+        F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
+        for i, j in both
+    ]
+    return row.select(F.inline(F.array(*cells)))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
@@ -100,5 +102,4 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per class and their share of the total."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("share", F.col("n") / total)
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))  # a row per class

@@ -18,7 +18,6 @@ from millrace.operators import sampling as X
 from millrace.operators.joins import union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import FEATURES, feat, plays
-from millrace.sources.tables import spread
 
 
 def _halves(df: DataFrame, key: str | list[str], seed: str, fraction: float) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +98,7 @@ def tuned_forest(t: Tables) -> DataFrame:
 
 
 def _documents(t: Tables) -> DataFrame:
-    return spread(t.documents.select("doc_id", "text", "lang"))
+    return t.documents.select("doc_id", "text", "lang")
 
 
 def _text_halves(documents: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -453,10 +453,9 @@ LEFT JOIN nodes ON node_id = src_id ORDER BY n_edges DESC, src_id"""
 
 @query(_TOP_SQL)
 def top_by_edges_sql(t: Tables) -> DataFrame:
-    """The same question put in SQL over temporary views."""
-    edges(t).createOrReplaceTempView("edges")
-    nodes(t).createOrReplaceTempView("nodes")
-    return t.spark.sql(_TOP_SQL)
+    """The same question put in SQL over frames."""
+    text = _TOP_SQL.replace("FROM edges", "FROM {edges}").replace("JOIN nodes", "JOIN {nodes}")
+    return t.spark.sql(text, edges=edges(t), nodes=nodes(t))
 
 
 @query(

@@ -23,12 +23,11 @@ def _orders(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
 def read_delimited_roundtrip(t: Tables) -> DataFrame:
-    """Compressed tab-separated files, a folder per year, read back by two globs."""
+    """Compressed tab-separated files, a folder per year, read back as one table."""
     path = scratch_path(t.spark, "tsv")
     by_year = _orders(t).withColumn("year", C.year_of("day"))
     by_year.write.partitionBy("year").option("sep", "\t").option("compression", "gzip").csv(path)
-    globs = [f"{path}/year=199[0-9]", f"{path}/year=20[0-9][0-9]"]
-    return delimited.read_delimited(t.spark, globs, _ORDERS, sep="\t")
+    return delimited.read_delimited(t.spark, path, _ORDERS, sep="\t").drop("year")
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -159,4 +158,4 @@ def union_files(t: Tables) -> DataFrame:
     part = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderstatus").alias("status"))
     tables.write_table(part, path, format="csv", partition_by=["status"])
     schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
-    return delimited.read_delimited(t.spark, f"{path}/status=[FOP]", schema, header=True)
+    return delimited.read_delimited(t.spark, path, schema, header=True).drop("status")

@@ -11,7 +11,6 @@ from millrace.operators import mljobs, textcount
 from millrace.operators.joins import edge_endpoints
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import doc_lines, edges, nodes
-from millrace.sources.tables import spread
 
 
 @query("SELECT word, COUNT(*) AS n FROM (SELECT unnest(string_split(value, ' ')) AS word FROM doc_lines) w GROUP BY word")
@@ -83,7 +82,7 @@ WHERE word <> '' AND word NOT IN ({_STOP})
 GROUP BY word HAVING COUNT(DISTINCT doc_id) >= 5 ORDER BY n DESC, word LIMIT 10000"""
 )
 def vocabulary(t: Tables) -> DataFrame:
-    return mljobs.vocabulary(spread(t.documents.select("text")), "text")
+    return mljobs.vocabulary(t.documents.select("text"), "text")
 
 
 @query(

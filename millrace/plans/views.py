@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.textcount import lines_of
 from millrace.plans.registry import Tables
-from millrace.sources.tables import spread
 
 CORE = ["click", "view", "purchase"]
 FEATURES = [f"f{i}" for i in range(10)]
@@ -84,4 +83,4 @@ def feat(t: Tables) -> DataFrame:
 
 def doc_lines(t: Tables) -> DataFrame:
     """The lines of all documents."""
-    return lines_of(spread(t.documents.select("text")), "text")
+    return lines_of(t.documents.select("text"), "text")

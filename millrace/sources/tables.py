@@ -12,16 +12,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out over the cores when its files make fewer tasks than that.
-
-    For scans with costly work per row, as long texts have. A table of many splits, the
-    usual case on a cluster, is left as it is.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
-
-
 def write_table(
     df: DataFrame,
     path: str,

@@ -81,3 +81,17 @@ def test_ranking_metrics_equal_the_evaluator(spark):
     }
     for metric, got in want.items():
         assert got.first()[0] == pytest.approx(RankingEvaluator(metricName=metric, k=5).evaluate(df)), metric
+
+
+def test_missing_labels_and_values(spark):
+    """Rows without a label neither count as negatives nor are thinned; a correlation uses the rows with both values."""
+    from millrace.operators import metrics, sampling, stats
+
+    scored = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 1), (0.1, 0), (0.95, None)], "score double, label int")
+    assert metrics.auroc(scored, "score", "label").first()[0] == 0.75
+    rows = [(i, 0) for i in range(900)] + [(900 + i, 1) for i in range(50)] + [(950 + i, None) for i in range(200)]
+    kept = sampling.downsample(spark.createDataFrame(rows, "id int, label int"), "label", 0, 1.0, "id", 1)
+    assert kept.where("label IS NULL").count() == 200
+    pairs = spark.createDataFrame([(1.0, 1.0, 1.0), (2.0, 3.0, 1.0), (3.0, 2.0, 2.0), (4.0, 3.0, None)], "a double, b double, c double")
+    want = pairs.selectExpr("corr(a, b)").first()[0]
+    assert stats.corr_matrix(pairs, ["a", "b", "c"]).where("a = 'a' AND b = 'b'").first()["corr"] == want
