@@ -225,7 +225,8 @@ def _url_sql() -> str:
         f"""cell AS (SELECT greatest(-{steps}, least({steps}, floor(score / {step}::DOUBLE)))::INT AS cell,
   count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad
   FROM r JOIN score USING (row) WHERE verdict IS NOT NULL GROUP BY 1)""",
-        """loss AS (SELECT cell, round(coalesce(sum(good) OVER below, 0) / sum(good) OVER ()
+        f"""loss AS (SELECT greatest(coalesce(lag(cell) OVER (ORDER BY cell) + 1, -{steps}), least(0, cell)) AS cell,
+    round(coalesce(sum(good) OVER below, 0) / sum(good) OVER ()
     - coalesce(sum(bad) OVER below, 0) / sum(bad) OVER (), 12) AS loss
   FROM cell WINDOW below AS (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
         f"best AS (SELECT cell * {step}::DOUBLE AS threshold FROM loss ORDER BY loss, abs(cell), cell LIMIT 1)",

@@ -142,7 +142,10 @@ def calibrated(scored: DataFrame) -> float:
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wrong = F.coalesce(F.sum("good").over(below), F.lit(0)) / F.sum("good").over(every)
     right = F.coalesce(F.sum("bad").over(below), F.lit(0)) / F.sum("bad").over(every)
-    best = counts.select("cell", F.round(wrong - right, 12).alias("loss")).orderBy("loss", F.abs("cell"), "cell").first()
+    # a threshold may lie in the gap below its cell, too, where it parts the ruled URLs alike
+    lowest = F.coalesce(F.lag("cell").over(Window.orderBy("cell")) + 1, F.lit(-steps))
+    nearest = F.greatest(lowest, F.least(F.lit(0), F.col("cell"))).alias("cell")
+    best = counts.select(nearest, F.round(wrong - right, 12).alias("loss")).orderBy("loss", F.abs("cell"), "cell").first()
     return best["cell"] * STEP if best and best["loss"] is not None else 0.0
 
 
