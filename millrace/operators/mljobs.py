@@ -28,7 +28,6 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,11 +119,10 @@ def tf_idf(
     return Pipeline(stages=stages).fit(train)
 
 
-def vector_totals(df: DataFrame, features: str = "features") -> list[tuple[int, float]]:
-    """Per vector element how many rows have it and its sum, as many pairs as the vectors are long."""
-    summary = Summarizer.metrics("numNonZeros", "sum").summary(F.col(features)).alias("s")
-    row = df.select(summary).select("s.numNonZeros", "s.sum").first()
-    return [(round(n), float(total)) for n, total in zip(row[0].toArray(), row[1].toArray())]
+def vector_totals(df: DataFrame, features: str = "features") -> DataFrame:
+    """Per vector element that is not 0 everywhere: feature, n_rows that have it, and their total."""
+    elements = df.select(F.posexplode(vector_to_array(features)).alias("feature", "value")).where("value != 0")
+    return elements.groupBy("feature").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
 
 
 def vocabulary(

@@ -68,15 +68,20 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlations as (a, b, corr) rows, each over the rows that have both values; one pass."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}") for i, j in pairs])
-    both = pairs + [(j, i) for i, j in pairs if i != j]
-    cells = [
-        F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i, j in both
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    """Pearson correlations as (a, b, corr) rows, each over the rows that have both values; one pass.
+
+    A row is exploded into its pairs of values, which every task sums up before the shuffle,
+    so that the plan doesn't grow with the columns.
+    """
+    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
+    first = values.select("v", F.posexplode("v").alias("i", "x"))
+    pairs = first.select("i", "x", F.posexplode("v").alias("j", "y")).where("i <= j")
+    corr = pairs.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
+    one = F.array(F.struct("i", "j"))
+    two = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    cells = corr.select("corr", F.explode(F.when(F.col("i") == F.col("j"), one).otherwise(two)).alias("at"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return cells.select(F.get(names, F.col("at.i")).alias("a"), F.get(names, F.col("at.j")).alias("b"), "corr")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

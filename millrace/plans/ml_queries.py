@@ -105,11 +105,11 @@ def _text_halves(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _halves(documents, "doc_id", "l9", 0.7)
 
 
-def _text_model(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Training and test texts as word counts over the training vocabulary, with the language as label."""
+def _text_model(t: Tables, fit=L.bag_of_words) -> tuple[DataFrame, DataFrame]:
+    """Training and test texts as vectors fitted on the training texts, with the language as label; none without one."""
     labelled = L.index_label(_documents(t), "lang", "label").withColumn("label", F.col("label").cast("double"))
-    train, test = _text_halves(labelled)
-    words = L.bag_of_words(train, "text")
+    train, test = _text_halves(labelled.where("label IS NOT NULL"))
+    words = fit(train, "text")
     ready = [words.transform(df).select("doc_id", "lang", "label", "features") for df in (train, test)]
     return materialise(ready[0], "train"), materialise(ready[1], "test")
 
@@ -129,9 +129,9 @@ def bag_of_words(t: Tables) -> DataFrame:
     """Per vocabulary word what the vectors of the training texts add up to."""
     train, _ = _text_halves(_documents(t))
     model = L.bag_of_words(train, "text")
-    totals = L.vector_totals(model.transform(train))
-    rows = [(word, round(n), n_texts) for word, (n_texts, n) in zip(model.stages[-1].vocabulary, totals)]
-    return t.spark.createDataFrame(rows, "word string, n bigint, n_texts bigint")
+    words = t.spark.createDataFrame(list(enumerate(model.stages[-1].vocabulary)), "feature int, word string")
+    totals = L.vector_totals(model.transform(train)).join(words, "feature")
+    return totals.select("word", F.col("total").cast("bigint").alias("n"), F.col("n_rows").alias("n_texts"))
 
 
 @query()
@@ -140,8 +140,7 @@ def tf_idf(t: Tables) -> DataFrame:
     train, _ = _text_halves(_documents(t))
     model = L.tf_idf(train, "text")
     totals = L.vector_totals(model.transform(train))
-    rows = [(i, n_texts, weight) for i, (n_texts, weight) in enumerate(totals) if n_texts]
-    return t.spark.createDataFrame(rows, "feature int, n_texts bigint, weight double")
+    return totals.select("feature", F.col("n_rows").alias("n_texts"), F.col("total").alias("weight"))
 
 
 @query()
@@ -152,6 +151,15 @@ def multiclass_models(t: Tables) -> DataFrame:
     )
 
 
+@query()
+def tf_idf_models(t: Tables) -> DataFrame:
+    """The classifiers on hashed, weighted words instead of counts."""
+    train, test = _text_model(t, L.tf_idf)
+    return union_all(
+        [L.train_eval_multiclass(name, m, train, test) for name, m in L.multiclass_classifiers().items()]
+    )
+
+
 @query()
 def confident_texts(t: Tables) -> DataFrame:
     """The texts most surely taken for the commonest language."""
@@ -175,6 +183,12 @@ def als_fit(t: Tables) -> DataFrame:
     return model.itemFactors.select("id", F.posexplode("features").alias("factor", "value"))
 
 
+@query()
+def als_user_factors(t: Tables) -> DataFrame:
+    model, _ = _fitted(t)
+    return model.userFactors.select("id", F.posexplode("features").alias("factor", "value"))
+
+
 @query()
 def als_score(t: Tables) -> DataFrame:
     model, test = _fitted(t)

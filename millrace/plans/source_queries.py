@@ -92,11 +92,11 @@ def parse_match_log(t: Tables) -> DataFrame:
     )
 
 
-_DATASETS = {"moments": (FEATURES[:5], "real", "STRING"), "spectrum": (FEATURES[5:], "NUMERIC", "string")}
+_DATASETS = {"moments": (FEATURES[:32], "real", "STRING"), "spectrum": (FEATURES[32:], "NUMERIC", "string")}
 
 
 def _write_feature_files(t: Tables) -> str:
-    """Two datasets of five features and a quoted id each, with their attribute files."""
+    """Two datasets, each of half the features and a quoted id, with their attribute files."""
     root = scratch_path(t.spark, "features")
     track = F.concat(F.lit("'TR"), F.lpad(F.col("vec_id").cast("string"), 16, "0"), F.lit("'"))
     for name, (cols, number, text) in _DATASETS.items():
@@ -109,10 +109,9 @@ def _write_feature_files(t: Tables) -> str:
 
 
 @query(
-    """
-SELECT 'TR' || lpad(CAST(vec_id AS VARCHAR), 16, '0') AS track_id,
-       ROUND(CAST(embedding[1] AS DOUBLE), 6) AS f0, ROUND(CAST(embedding[10] AS DOUBLE), 6) AS f9
-FROM embeddings"""
+    "SELECT 'TR' || lpad(CAST(vec_id AS VARCHAR), 16, '0') AS track_id, "
+    + ", ".join(f"ROUND(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS {c}" for i, c in enumerate(FEATURES))
+    + " FROM embeddings"
 )
 def read_with_attributes(t: Tables) -> DataFrame:
     loaded = delimited.load_many(t.spark, list(_DATASETS), _write_feature_files(t))
@@ -120,7 +119,7 @@ def read_with_attributes(t: Tables) -> DataFrame:
         name: df.withColumn("track_id", C.strip_quotes("track_id")) for name, df in loaded.items()
     }
     joined = keyed["moments"].join(keyed["spectrum"], "track_id")
-    return joined.select("track_id", F.round("f0", 6).alias("f0"), F.round("f9", 6).alias("f9"))
+    return joined.select("track_id", *[F.round(c, 6).alias(c) for c in FEATURES])
 
 
 @query(

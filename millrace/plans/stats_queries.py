@@ -49,12 +49,11 @@ def quantiles_approx(t: Tables) -> DataFrame:
 
 
 @query(
-    " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, ROUND(CORR(CAST(embedding[{i + 1}] AS DOUBLE), "
-        f"CAST(embedding[{j + 1}] AS DOUBLE)), 8) AS corr FROM embeddings"
-        for i, a in enumerate(FEATURES)
-        for j, b in enumerate(FEATURES)
-    )
+    f"""
+SELECT 'f' || i AS a, 'f' || j AS b,
+       ROUND(CORR(CAST(embedding[i + 1] AS DOUBLE), CAST(embedding[j + 1] AS DOUBLE)), 8) AS corr
+FROM embeddings, unnest(range({len(FEATURES)})) AS x(i), unnest(range({len(FEATURES)})) AS y(j)
+GROUP BY i, j"""
 )
 def corr_matrix(t: Tables) -> DataFrame:
     return Q.corr_matrix(feat(t), FEATURES).withColumn("corr", F.round("corr", 8))

@@ -9,7 +9,7 @@ from millrace.operators.textcount import lines_of
 from millrace.plans.registry import Tables
 
 CORE = ["click", "view", "purchase"]
-FEATURES = [f"f{i}" for i in range(10)]
+FEATURES = [f"f{i}" for i in range(64)]  # as many as an embedding has
 
 
 def plays(t: Tables) -> DataFrame:
@@ -76,7 +76,7 @@ def stations(t: Tables) -> DataFrame:
 
 
 def feat(t: Tables) -> DataFrame:
-    """Embeddings with their first ten elements as columns."""
+    """Embeddings with their elements as columns."""
     elements = [F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(FEATURES)]
     return t.embeddings.select("vec_id", "label", *elements)
 
