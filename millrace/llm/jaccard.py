@@ -388,8 +388,8 @@ def _of_lists(rows: DataFrame) -> DataFrame:
     return rows.groupBy("token", "part").agg(F.count("*").alias("length"), first, *component)
 
 
-def _all_links(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links enough to join all nodes that are reachable by links. ``entries``: (token, part, node, n, place)."""
+def _joined(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, component) by links enough to join all nodes that links can reach. ``entries``: (token, part, node, n, place)."""
     differ = (F.col("component") != F.col("component_b")) & (F.col("node") != F.col("node_b"))
     lists = materialise(_of_lists(entries), "lists")
     longest = F.max(F.struct("length", "first")).alias("l")
@@ -406,7 +406,7 @@ def _all_links(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFra
         unfinished = materialise(_of_lists(rows).where("low < high").drop("low", "high"), "lists")
         rows = materialise(rows.join(unfinished, ["token", "part"]), "entries")
         if rows.isEmpty():
-            return links
+            return found
         small = F.col("length") <= (SHORT if turn > 1 else 2)
         short, long = rows.where(small), rows.where(~small)
         pairs = _candidates(short, short, differ & (F.col("node") < F.col("node_b")))
@@ -420,7 +420,7 @@ def _all_links(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFra
         checked = checked.unionByName(pairs)
         rows = materialise(long.where(~is_pivot), "entries")
         if rows.isEmpty():
-            return links
+            return materialise(components(links, "a", "b"), "components")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -464,8 +464,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     entries = entries.select(columns).unionByName(alone.select(columns))
     entries = materialise(entries.distinct(), "entries")
 
-    found = materialise(components(_all_links(entries, nodes, rows), "a", "b"), "components")
-    of_node = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_node = nodes.join(_joined(entries, nodes, rows), "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_component = materialise(of_node.groupBy("component").agg(F.min("first").alias("head")), "heads")
     of_node = materialise(of_node.join(of_component, "component").select("node_key", "head"), "of_node")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
