@@ -67,12 +67,13 @@ def join_dim(
 def lookup_few(few: DataFrame, dim: DataFrame, key: str, dim_key: str, take: dict[str, str]) -> DataFrame:
     """``lookup`` for a short list (a top-n report) against a table of any size.
 
-    The list is worked out once and broadcast to a single scan of the table, which
-    keeps the matching rows only; the table itself is never shuffled.
+    The list is worked out once and written, so that its size is known: below the
+    planner's threshold it is broadcast to a single scan of the table, which keeps the
+    matching rows only.
     """
     few = materialise(few, "few")
     side = dim.select(F.col(dim_key).alias(key), *[F.col(c).alias(name) for c, name in take.items()])
-    found = side.join(F.broadcast(few.select(key).distinct()), key, "left_semi")
+    found = side.join(key_table(few, [key]), key, "left_semi")
     return few.join(found, key, "left")
 
 
@@ -121,12 +122,15 @@ def missing_keys(fact: DataFrame, dim: DataFrame, on: str, via: str = "join") ->
 def lookup_with_fallback(
     df: DataFrame, dim: DataFrame, keys: list[tuple[str, str]], take: str, name: str
 ) -> DataFrame:
-    """The ``take`` column of ``dim`` by the first of several (key, dim key) pairs that matches."""
+    """The ``take`` column of ``dim`` by the first of several (key, dim key) pairs that matches.
+
+    Each side, a row per key, is written, so that a hot key of ``df`` can be split.
+    """
     tries = []
     for i, (key, dim_key) in enumerate(keys):
         found = f"_found_{i}"
         side = dim.groupBy(F.col(dim_key).alias(key)).agg(F.min(take).alias(found))
-        df = df.join(side, key, "left")
+        df = df.join(materialise(side, "side"), key, "left")
         tries.append(found)
     return df.withColumn(name, F.coalesce(*tries)).drop(*tries)
 

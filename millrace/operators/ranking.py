@@ -23,8 +23,8 @@ def top_groups(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def keep_top_groups(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The rows of the ``n`` most frequent keys; those keys, ``n`` of them, are broadcast."""
-    return df.join(F.broadcast(top_groups(df, key, n).select(key)), key, "left_semi")
+    """The rows of the ``n`` most frequent keys; those are written, so that the planner knows their size."""
+    return df.join(materialise(top_groups(df, key, n).select(key), "top"), key, "left_semi")
 
 
 def top_rows_per_group(df: DataFrame, groups: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -122,15 +122,31 @@ def read_with_attributes(t: Tables) -> DataFrame:
     return joined.select("track_id", *[F.round(c, 6).alias(c) for c in FEATURES])
 
 
+@query(
+    "SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN 'NUMERIC' WHEN 1 THEN 'real' WHEN 2 THEN 'string' ELSE 'STRING' END AS type "
+    "FROM part"
+)
+def attribute_types(t: Tables) -> DataFrame:
+    """The type tokens of a listing with a line per part."""
+    path = scratch_path(t.spark, "listing")
+    tokens = F.array(*[F.lit(token) for token in delimited.ATTRIBUTE_TYPES])
+    t.part.select("p_name", F.get(tokens, F.col("p_size") % 4)).write.csv(path)
+    return delimited.attribute_types(t.spark, path)
+
+
+_KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
+_KIND = "CASE column_type " + " ".join(f"WHEN '{sql}' THEN '{kind}'" for sql, kind in _KINDS.items()) + " END"
+
+
 @query(
     " UNION ALL ".join(
-        f"SELECT '{name}' AS dataset, (SELECT COUNT(*) FROM {name}) AS n_rows, COUNT(*) AS n_columns "
-        f"FROM (DESCRIBE {name}) d"
+        f"SELECT '{name}' AS dataset, (SELECT COUNT(*) FROM {name}) AS n_rows, COUNT(*) AS n_columns, "
+        f"string_agg(column_name || ' ' || {_KIND}, ', ') AS columns FROM (DESCRIBE {name}) d"
         for name in TABLE_NAMES
     )
 )
 def dataset_profile(t: Tables) -> DataFrame:
-    return tables.profile({name: getattr(t, name) for name in TABLE_NAMES}).drop("columns")
+    return tables.profile({name: getattr(t, name) for name in TABLE_NAMES})
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
