@@ -91,9 +91,3 @@ def test_profile_and_peek(spark, rows):
     df = spark.range(5)
     assert rows(tables.profile({"r": df, "e": df.limit(0)})) == [("e", 0, 1, "id bigint"), ("r", 5, 1, "id bigint")]
     assert rows(tables.first_n(df, 2, [F.desc("id")])) == [(3,), (4,)]
-
-
-def test_spread_leaves_many_splits_alone(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(100).repartition(1).write.parquet(path)
-    assert tables.spread(spark.read.parquet(path)).rdd.getNumPartitions() == 8
