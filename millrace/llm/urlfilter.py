@@ -3,9 +3,9 @@
 URLs that a rule accepts and those that a rule rejects each train a Markov model of variable
 order, up to ``ORDER`` characters of context, with Witten-Bell smoothing: each order adds
 to its counts the estimate of the next shorter one, as heavy as it has different
-continuations. Counts are taken over all ruled URLs. A gram that makes up less
-than ``LEAST`` of the characters of either class is left to the next shorter one, which bounds
-a level of the model by 2 / LEAST entries whatever the input, so that it may be broadcast.
+continuations. Counts are taken over all ruled URLs, and every gram counted is kept, at any
+size of the input. The gains are worked out once for each distinct gram of the URLs to score and
+written, so the planner knows their size and shuffles or broadcasts them.
 
 A URL's score is the log-likelihood difference divided by its length. The verdict's threshold
 is calibrated on all ruled URLs: the score, of steps of ``STEP``, at which the two classes'
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from millrace.lineage import materialise
 
 ORDER = 4
-LEAST = 2.0**-15
+LEAST = 2.0**-15  # of the SQL twin alone, which leaves rarer grams out; none is up to 2^15 characters a class
 STEP = 0.01
 CLIP = 8.0  # scores beyond it count as it in the calibration
 ALPHABET = 256  # characters that the model of order 0 shares its rest among
@@ -115,20 +115,20 @@ def train(rows: DataFrame) -> list[DataFrame]:
             smoothed[f"p_{kind}"] = F.when(n == 0, p).otherwise((F.col(kind) + t * p) / (n + t))
         level = level.withColumns(smoothed)
         shorter = materialise(level.select("gram", "p_good", "p_bad"), "estimates")
-        often = (F.col("good") >= LEAST * total["good"]) | (F.col("bad") >= LEAST * total["bad"])
-        kept = level.where(often).select("gram", (F.log("p_good") - F.log("p_bad")).alias("gain"))
-        levels.append(materialise(kept, "gains"))
+        levels.append(shorter.select("gram", (F.log("p_good") - F.log("p_bad")).alias("gain")))
     return levels
 
 
 def score(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """(row, score) of (row, text, verdict): the mean gain of its characters, each by the longest gram known."""
-    chars = _characters(rows).select("row", *[_tail(F.col("gram"), n + 1).alias(f"gram{n}") for n in range(len(levels))])
+    chars = _characters(rows).select("row", "gram")
+    asked = materialise(chars.select("gram").distinct(), "asked")
     for n, level in enumerate(levels):
         own = level.select(F.col("gram").alias(f"gram{n}"), F.col("gain").alias(f"gain{n}"))
-        chars = chars.join(F.broadcast(own), f"gram{n}", "left")  # at most 2 / LEAST short rows
+        asked = asked.join(own, _tail(F.col("gram"), n + 1) == F.col(f"gram{n}"), "left")
     gain = F.coalesce(*[F.col(f"gain{n}") for n in reversed(range(len(levels)))], F.lit(0.0))
-    return chars.groupBy("row").agg((F.sum(gain) / F.count("*")).alias("score"))
+    gains = materialise(asked.select("gram", gain.alias("gain")), "gains")
+    return chars.join(gains, "gram").groupBy("row").agg((F.sum("gain") / F.count("*")).alias("score"))
 
 
 def calibrated(scored: DataFrame) -> float:

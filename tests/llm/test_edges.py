@@ -1,8 +1,10 @@
 """Nulls, empty and long texts, repeated rows, empty tables and further columns."""
 
 import io
+import math
 import random
 import zipfile
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -231,3 +233,44 @@ def test_urls(spark):
     assert (by[100].verdict, by[101].verdict) == ("allow", "block")
     assert {r.verdict for r in urlfilter.judge(pages.where("page_id = 8")).collect()} == {"allow"}
     assert urlfilter.judge(pages.limit(0)).count() == 0
+
+
+def test_rare_grams_of_many_urls_count(spark):
+    """A gram seen once tells the classes apart however many other characters there are."""
+    rows = [(i, f"x://site.com/{'fr' if i % 2 else 'de'}/{'common/' * 9}") for i in range(1200)]
+    rows += [(2001, "x://com/fr/kqvzj"), (2002, "x://com/de/wyxgu"), (2003, "x://b.net/kqvzj"), (2004, "x://b.net/wyxgu")]
+    texts = [(i, i % 2, url.split("://")[1]) for i, url in rows]
+    counts = [[Counter(), Counter()] for _ in range(urlfilter.ORDER + 1)]
+    for i, kind, text in texts:
+        padded = urlfilter.START * urlfilter.ORDER + text
+        for at in range(urlfilter.ORDER, len(padded)) if i < 2003 else ():
+            for n in range(urlfilter.ORDER + 1):
+                counts[n][kind][padded[at - n : at + 1]] += 1
+    assert min(sum(c.values()) for c in counts[0]) > 1 << 15
+    of_context = [[Counter(), Counter()] for _ in counts]
+    follow = [[Counter(), Counter()] for _ in counts]
+    for n, both in enumerate(counts):
+        for kind, own in enumerate(both):
+            for gram, count in own.items():
+                of_context[n][kind][gram[:-1]] += count
+                follow[n][kind][gram[:-1]] += 1
+
+    def likelihood(kind, gram):
+        shorter = likelihood(kind, gram[1:]) if len(gram) > 1 else 1 / urlfilter.ALPHABET
+        n, context = len(gram) - 1, gram[:-1]
+        total, others = of_context[n][kind][context], follow[n][kind][context]
+        return (counts[n][kind][gram] + others * shorter) / (total + others) if total else shorter
+
+    def score(text):
+        padded, total = urlfilter.START * urlfilter.ORDER + text, 0.0
+        for at in range(urlfilter.ORDER, len(padded)):
+            grams = [padded[at - n : at + 1] for n in range(urlfilter.ORDER, -1, -1)]
+            known = next((g for g in grams if counts[len(g) - 1][0][g] + counts[len(g) - 1][1][g]), None)
+            total += math.log(likelihood(1, known) / likelihood(0, known)) if known else 0.0
+        return total / len(text)
+
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in urlfilter.judge(pages).collect()}
+    for i, _, text in texts[-6:]:
+        assert abs(got[i].score - score(text)) < 1e-9
+    assert got[2003].score > 0.3 and got[2004].score < -0.3
