@@ -12,7 +12,10 @@ runs of other documents and languages follow one another, so that switches are l
 It is done in one task, by gradient steps over all runs. Labelling reads every whole text.
 
 Words are maximal runs of ASCII letters and characters beyond ASCII that hold at least one
-letter. Defined results: a text that is null or has no letter is ``und`` with score 0; so is
+letter. A run of more than ``LONGEST`` code points, as of text without blanks, is cut evenly into
+parts of at most ``PART``, each a word of the chain, so that it counts by its length. The parts
+cover the whole run: a part's features see the code points next to it, the first part has the
+first letters and the last part the last ones; one without a letter is no word. Defined results: a text that is null or has no letter is ``und`` with score 0; so is
 everything when no labelled document is there to learn from. A null id isn't held out and
 doesn't teach. Ties go to the language first in order. Other columns are ignored by
 ``predict`` and kept by ``keep_known``.
@@ -24,6 +27,7 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,12 +41,14 @@ BUCKETS = 1 << 17
 PER_LANGUAGE = 200
 RUN, MIXED = 64, 8  # words of a chain in learning; the shortest run of one language in it
 STEPS, RATE, DECAY = 40, 0.25, 1e-6
-LONGEST = 24  # letters of a word that the features look at: as many at its end, if it is longer
+LONGEST, PART = 24, 8  # code points of a word that stays whole, and of the parts of a longer one
+FEATURED = 1 << 16  # distinct words whose features are held at once in labelling
 CHAIN_WORDS = 1 << 19  # words, padding included, that go through the chain together
 GATHERED = 1 << 21  # words gathered before they are labelled
 
 PREDICTION_SCHEMA = "doc_id long, lang_pred string, score double"
 UNKNOWN = "und"
+BEFORE, AFTER = "\x02", "\x03"  # marks at the ends of a word
 
 
 @dataclass
@@ -56,19 +62,23 @@ class Model:
 # Features ------------------------------------------------------------------------------
 
 
-def _codes(words: list[str]) -> np.ndarray:
-    """Code points of the words, padded with 0."""
-    cut = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in words]
-    return np.array(cut, f"U{LONGEST}").view(np.uint32).reshape(len(words), LONGEST)
+def _parts(word: str) -> list[str]:
+    """The word or, if it is longer than LONGEST, its parts, between the code points or marks beside them."""
+    n = len(word)
+    count = -(-n // PART) if n > LONGEST else 1
+    cuts = [n * i // count for i in range(count + 1)]
+    framed = BEFORE + word + AFTER
+    spans = zip(cuts[:-1], cuts[1:], strict=True)
+    return [framed[low : high + 2] for low, high in spans if any(c.isalpha() for c in word[low:high])]
 
 
-def features(words: list[str]) -> np.ndarray:
-    """A row of hashed features for each word; 0 fills the rows."""
-    codes = np.pad(_codes(words).astype(np.uint64), ((0, 0), (1, 2)))
-    length = (codes > 0).sum(axis=1)
-    rows = np.arange(len(words))
-    codes[:, 0] = 2  # a mark before the word, and one after it
-    codes[rows, length + 1] = 3
+def features(parts: list[str]) -> np.ndarray:
+    """A row of hashed features for each part of a word; 0 fills the rows."""
+    codes = np.array(parts, f"U{LONGEST + 2}").view(np.uint32).reshape(len(parts), LONGEST + 2)
+    codes = np.pad(codes.astype(np.uint64), ((0, 0), (0, 1)))
+    length = (codes > 0).sum(axis=1) - 2
+    rows = np.arange(len(parts))
+    begins, ends = codes[:, 0] == ord(BEFORE), codes[rows, length + 1] == ord(AFTER)
     base = np.uint64(0x100000001B3)
 
     def hashed(parts: list[np.ndarray], kind: int) -> np.ndarray:
@@ -82,27 +92,32 @@ def features(words: list[str]) -> np.ndarray:
         there = length >= k
         first = hashed([codes[:, 1 + i] for i in range(k)], 10 + k)
         last = hashed([codes[rows, np.maximum(length - k + 1 + i, 0)] for i in range(k)], 20 + k)
-        columns += [np.where(there, first, 0)[:, None], np.where(there, last, 0)[:, None]]
+        columns += [np.where(there & begins, first, 0)[:, None], np.where(there & ends, last, 0)[:, None]]
     for k in (2, 3):  # letter pairs and triples, marks included
         wide = codes.shape[1] - k + 1
         grams = hashed([codes[:, i : i + wide] for i in range(k)], 30 + k)
         columns.append(np.where(np.arange(wide)[None, :] + k <= length[:, None] + 2, grams, 0))
     out = np.concatenate(columns, axis=1)
     used = (out > 0).any(axis=0)
-    return out[:, used] if len(words) else out
+    return out[:, used] if len(parts) else out
 
 
-def _lexicon(words: Words) -> tuple[np.ndarray, list[str]]:
-    """For each word its number among the distinct ones, -1 if it has no letter; the distinct ones."""
+def _lexicon(words: Words) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """For each part of the words its number among the distinct ones, the bounds of the texts in them, the distinct ones."""
     codes, distinct = pd.factorize(words.hashes)
     firsts = np.empty(len(distinct), np.int64)
     firsts[codes[::-1]] = np.arange(len(codes))[::-1]  # the first place is written last
     data = words.data.tobytes()
-    texts = [data[words.starts[i] : words.ends[i]].decode("utf-8", "replace").lower() for i in firsts]
-    lettered = np.array([any(c.isalpha() for c in t) for t in texts], bool)
-    numbers = np.cumsum(lettered) - 1
-    numbers[~lettered] = -1
-    return numbers[codes] if len(codes) else codes, [t for t, ok in zip(texts, lettered, strict=True) if ok]
+    texts = (data[words.starts[i] : words.ends[i]].decode("utf-8", "replace").lower() for i in firsts)
+    known: dict[str, int] = {}
+    own = [[known.setdefault(part, len(known)) for part in _parts(text)] for text in texts]
+    counts = np.array([len(numbers) for numbers in own], np.int64)
+    flat = np.fromiter(chain.from_iterable(own), np.int64)
+    each = counts[codes] if len(codes) else counts
+    ends = np.cumsum(each)
+    begins = (np.cumsum(counts) - counts)[codes] if len(codes) else counts
+    numbers = flat[np.arange(int(each.sum())) + np.repeat(begins - (ends - each), each)] if len(flat) else flat
+    return numbers, np.append(0, ends)[words.bounds], list(known)
 
 
 # The chain -----------------------------------------------------------------------------
@@ -188,12 +203,11 @@ def _training_chains(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.
         langs = batch.column(1).to_pylist()
         for low, piece in pieces(string_array(batch.column(0))):
             words = split_words(piece, LETTERS)
-            own, distinct = _lexicon(words)
-            known = np.array([lexicon.setdefault(w, len(lexicon)) for w in distinct] + [-1])
-            numbers = known[own] if len(own) else own
+            own, bounds, distinct = _lexicon(words)
+            known = np.array([lexicon.setdefault(w, len(lexicon)) for w in distinct], np.int64)
+            numbers = known[own]
             for i in range(len(piece)):
-                text = numbers[words.bounds[i] : words.bounds[i + 1]]
-                text = text[text >= 0]
+                text = numbers[bounds[i] : bounds[i + 1]]
                 at = 0
                 while at < len(text):
                     size = int(draw.integers(MIXED, RUN + 1))
@@ -282,14 +296,15 @@ def _shares(emit: np.ndarray, owner: np.ndarray, n_texts: int, moves: np.ndarray
 def _emissions(piece: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """The exponential scores of the words of a piece, and the text of each."""
     words = split_words(piece, LETTERS)
-    numbers, distinct = _lexicon(words)
+    numbers, bounds, distinct = _lexicon(words)
     if not distinct:
         return np.zeros((0, len(model.labels)), np.float32), np.zeros(0, np.int32)
     emit = np.zeros((len(distinct), len(model.labels)), np.float32)
-    for column in features(distinct).T:
-        emit += model.weights[column]
-    owner = np.repeat(np.arange(len(piece), dtype=np.int32), np.diff(words.bounds))
-    return _exp(emit)[numbers[numbers >= 0]], owner[numbers >= 0]
+    for low in range(0, len(distinct), FEATURED):
+        for column in features(distinct[low : low + FEATURED]).T:
+            emit[low : low + FEATURED] += model.weights[column]
+    owner = np.repeat(np.arange(len(piece), dtype=np.int32), np.diff(bounds))
+    return _exp(emit)[numbers], owner
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray]]:

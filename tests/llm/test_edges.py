@@ -274,3 +274,30 @@ def test_rare_grams_of_many_urls_count(spark):
     for i, _, text in texts[-6:]:
         assert abs(got[i].score - score(text)) < 1e-9
     assert got[2003].score > 0.3 and got[2004].score < -0.3
+
+
+def test_language_of_text_without_blanks(spark):
+    """Runs are read throughout and count by their length, even where their ends are alike."""
+    same = "一二三四五六七八九十百千"
+    kinds = {"zh": "的是不我有大在人了中", "ja": "のにはをたがでてとし", "en": None}
+
+    def text(lang, i, n=300):
+        if lang == "en":
+            return " ".join(random.Random(i).choices(["the", "of", "and", "thing"], k=60))
+        return same + "".join(random.Random(i).choices(kinds[lang], k=n)) + same
+
+    rows = [(100 * j + i, text(lang, i), lang) for j, lang in enumerate(kinds) for i in range(20)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = {1: text("zh", 50), 2: text("ja", 51), 3: text("zh", 52) + " the of and thing", 4: "the of " + text("ja", 53, 9000)}
+    got = langid.predict(spark.createDataFrame(list(asked.items()), "doc_id long, text string"), model).collect()
+    got = {r.doc_id: r for r in got}
+    assert [got[i].lang_pred for i in asked] == ["zh", "ja", "zh", "ja"]
+    assert got[4].score > 0.95
+
+
+def test_parts_cover_long_words():
+    word = "Donaudampfschifffahrtsgesellschaftskapitän".lower()
+    parts = langid._parts(word)
+    assert "".join(p[1:-1] for p in parts) == word and max(map(len, parts)) <= langid.PART + 2
+    assert parts[0][0] == langid.BEFORE and parts[1][0] == parts[0][-2] and parts[-1][-1] == langid.AFTER
+    assert langid._parts(word[:24]) == [langid.BEFORE + word[:24] + langid.AFTER]
