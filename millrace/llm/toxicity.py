@@ -7,7 +7,9 @@ L1 leaves only the weights that earn their keep; those are all that is broadcast
 
 Learning takes a sample of about ``POSITIVES`` toxic and ``NEGATIVES`` other texts, drawn
 by a hash of the id at a rate found from counts over all labels, whole texts each; it is
-learned in one task, since each step needs the one before. Scoring reads every whole text.
+learned in one task, since each step needs the one before. The logarithm of the two rates' ratio
+is added to the bias, so that scores mean the share among all labels, not in the sample, at any
+size. Scoring reads every whole text.
 
 Defined results: a null or empty text has the score of no features at all. A null id is
 not held out and has no label. Ids that repeat in the labels are toxic if one row says so;
@@ -92,7 +94,7 @@ def learn(features: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS)
     return weights(np.arange(BUCKETS))
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fit(batches: Iterator[pa.RecordBatch], prior: float) -> Iterator[pa.RecordBatch]:
     features: list[np.ndarray] = []
     labels: list[np.ndarray] = []
     for batch in batches:
@@ -102,6 +104,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     y = np.concatenate(labels) if labels else np.zeros(0)
     if 0 < y.sum() < len(y):
         w = learn(features, y)
+        w[BIAS] += prior
     else:  # nothing to tell apart
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-9, 1 - 1e-9))
         w = np.zeros(1)
@@ -122,13 +125,16 @@ def fit(docs: DataFrame, labels: DataFrame, teaches: Column | None = None) -> tu
         known = known.where(teaches)
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    rate = F.when(F.col("toxic") == 1, POSITIVES / max(1, counts.get(1, 0))).otherwise(NEGATIVES / max(1, counts.get(0, 0)))
+    toxic_rate, other_rate = POSITIVES / max(1, counts.get(1, 0)), NEGATIVES / max(1, counts.get(0, 0))
+    rate = F.when(F.col("toxic") == 1, toxic_rate).otherwise(other_rate)
+    prior = float(np.log(min(1.0, other_rate) / min(1.0, toxic_rate)))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = known.where(draw < rate).withColumn("turn", draw)
+    # Both kinds are spread over all turns, or the one of the higher rate would fill the last ones alone.
+    sample = known.where(draw < rate).withColumn("turn", draw / F.least(rate, F.lit(1.0)))
     # About POSITIVES + NEGATIVES rows of 16 bytes, whatever the size of the labels.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     texts = texts.repartition(1).sortWithinPartitions("turn", "doc_id", F.xxhash64("text")).select("text", "toxic")
-    rows = texts.mapInArrow(_fit, WEIGHT_SCHEMA).collect()
+    rows = texts.mapInArrow(partial(_fit, prior=prior), WEIGHT_SCHEMA).collect()
     return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)
 
 

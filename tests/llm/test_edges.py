@@ -301,3 +301,10 @@ def test_parts_cover_long_words():
     assert "".join(p[1:-1] for p in parts) == word and max(map(len, parts)) <= langid.PART + 2
     assert parts[0][0] == langid.BEFORE and parts[1][0] == parts[0][-2] and parts[-1][-1] == langid.AFTER
     assert langid._parts(word[:24]) == [langid.BEFORE + word[:24] + langid.AFTER]
+
+
+def test_toxicity_keeps_the_share_of_all_labels(spark):
+    """Both samples are full here, at different rates; a text that says nothing scores as all labels do."""
+    rows = spark.range(54_000).selectExpr("id AS doc_id", "'says nothing' AS text", "CAST(id % 9 = 0 AS INT) AS toxic")
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert abs(toxicity.score(rows.where("doc_id = 1"), model).first().score - 1 / 9) < 0.05
