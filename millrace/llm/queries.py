@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from millrace.llm import (
     jaccard,
     langid,
     packing,
+    runs,
     tokenstore,
     toxicity,
     urlfilter,
@@ -259,3 +262,64 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 def op10_exact_dedup(t: Tables) -> DataFrame:
     """Equal texts but for blanks, with the one that stays."""
     return exactdedup.exact_groups(t.documents)
+
+
+# crc32 of the id's digits: each digit is taken in, then eight shifts.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"""
+
+
+def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Of one text in ten the places its words are taken from: from some word on, a few of them over and over."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    return np.where(at < a, at, a + (at - a) % p)
+
+
+@_query(f"""
+WITH h AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {NONBLANK}) AS w, CASE WHEN doc_id IS NULL THEN 1 ELSE {_CRC} END AS h
+  FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE w END AS w FROM a),
+t AS (SELECT row, i, w[i + 1] AS word FROM d, unnest(range(0, n)) AS u(i)),
+e AS (SELECT x.row, x.i, y.i - x.i AS q FROM t x JOIN t y ON y.row = x.row AND y.word = x.word AND y.i > x.i),
+s AS (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM e),
+m AS (SELECT row, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY row, q, island),
+r AS (
+  SELECT row, start, length, min(q) AS period FROM m WHERE length >= {runs.MIN_LENGTH} AND length >= 2 * q
+  GROUP BY row, start, length),
+f AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs,
+    first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS top FROM r GROUP BY row),
+c AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.row = t.row AND i >= start + period AND i < start + length) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.start AS start, top.length AS length, top.period AS period,
+  1000 * top.length // top.period AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN f USING (row) LEFT JOIN c USING (row)""")
+def op13_periodic_runs(t: Tables) -> DataFrame:
+    """The runs of every text, the longest of them, and the text without repetitions; one text in ten is made periodic first."""
+    found = runs.find_runs(t.documents, order=planted_order)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    ranked = F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period")))
+    top = found.withColumn("top", F.array_max(ranked))
+    return top.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
