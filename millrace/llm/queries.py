@@ -15,6 +15,7 @@ from millrace.llm import (
     exactdedup,
     jaccard,
     langid,
+    licenses,
     packing,
     runs,
     tokenstore,
@@ -264,6 +265,53 @@ def op10_exact_dedup(t: Tables) -> DataFrame:
     return exactdedup.exact_groups(t.documents)
 
 
+def _license_sql() -> str:
+    """Base places word by word, templates as regular expressions over the joined words."""
+    joined = "array_to_string(w, ' ') || ' '"
+    places = " UNION ALL ".join(
+        f"""SELECT row, '{label}' AS label, p FROM d, unnest(range(0, len(w) - {n - 1})) AS t(p)
+  WHERE w[p + 1 : p + {n}] = {words}"""
+        for label, phrase in licenses.PHRASES.items()
+        for words in [licenses.words_of(phrase)]
+        for n in [len(words)]
+    )
+    found = " UNION ALL ".join(
+        f"SELECT row, '{label}' AS label FROM d WHERE regexp_matches({joined}, '(?:^| ){licenses.pattern(licenses.parse(markup))}')"
+        for label, markup in licenses.TEMPLATES.items()
+    )
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), {ALNUM}) AS w FROM documents),
+p AS ({places}),
+f AS ({found}),
+b AS (
+  SELECT row, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM p GROUP BY row),
+l AS (
+  SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT row, label FROM p UNION ALL FROM f) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+  CASE WHEN row IN (SELECT row FROM f) THEN 1.0::DOUBLE WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM d LEFT JOIN b USING (row) LEFT JOIN l USING (row)"""
+
+
+@_query(_license_sql())
+def op12_license_scan(t: Tables) -> DataFrame:
+    """License phrases of every text, and the license texts and notices that templates accept."""
+    scanned = licenses.scan(t.documents)
+    starts = F.col("base.start")
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base.label", "found.label")), ",").alias("labels"),
+        F.when(F.size("found") > 0, 1.0).when(F.size("base") > 0, 0.5).otherwise(0.0).alias("score"),
+    )
+
+
 # crc32 of the id's digits: each digit is taken in, then eight shifts.
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
     lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
