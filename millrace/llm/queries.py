@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    collocations,
     credentials,
     decontam,
     exactdedup,
@@ -265,6 +266,34 @@ def op10_exact_dedup(t: Tables) -> DataFrame:
     return exactdedup.exact_groups(t.documents)
 
 
+@_query(rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {LOWER}) AS text FROM documents),
+p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g, count(*) AS f
+  FROM p, unnest(range(1, {collocations.LONGEST + 1})) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(i) GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM g WHERE k > 1 AND f >= {collocations.LEAST}),
+s AS (
+  SELECT c.lang, c.g, c.k, c.f AS a, j, x.f AS l, y.f AS r,
+    CAST((CAST({collocations.SCALE} AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.g = array_to_string(c.w[1 : j], ' ')
+  JOIN g y ON y.lang = c.lang AND y.g = array_to_string(c.w[j + 1 :], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+i AS (
+  SELECT lang, array_to_string(w[low : low + size - 1], ' ') AS g, max(f) AS most
+  FROM c, unnest(range(2, k)) AS t(size), unnest(range(1, k - size + 2)) AS u(low) GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN i USING (lang, g) WHERE coalesce(100 * most < {collocations.COVERED} * a, true))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM k JOIN t USING (lang) QUALIFY rank <= {collocations.TOP}""")
+def op11_collocations(t: Tables) -> DataFrame:
+    """The phrases of each language whose parts occur together most."""
+    return collocations.collocations(t.documents)
+
+
 def _license_sql() -> str:
     """Base places word by word, templates as regular expressions over the joined words."""
     joined = "array_to_string(w, ' ') || ' '"
