@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.lineage import materialise
+from millrace.lineage import materialise, scratch_path
 from millrace.llm.text import Words, byte_table, decode_varints, encode_varints, mix, pieces, split_words, string_array
 from millrace.operators.ranking import top_rows_per_group
 
@@ -47,9 +47,10 @@ SCALE = 2_000_000
 TOP = 2000
 
 BURST = 1 << 15
-TRIE_ENTRIES = 1 << 20
+TRIE_ENTRIES = 1 << 19
 MERGE = 1 << 19
-RUN_ENTRIES = 1 << 16  # phrases of a row of the table of runs
+RUN_ENTRIES = 1 << 13  # phrases of a row of the table of runs
+RUN_BYTES = 4 << 20  # of a row group of that table, so that its files can be read in parts
 FILTER_BITS = 27
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -351,8 +352,9 @@ def _count_phrases(
                 ids_of = [_shifted(ids, k)[at] for k in range(n)]
                 columns.append(ids_of + [np.zeros(len(at), np.uint64)] * (LONGEST - n))
         for phrases in columns:
-            for low in range(0, len(phrases[0]), entries // 2):
-                trie.add([c[low : low + entries // 2] for c in phrases])
+            step = max(entries // 4, 1)
+            for low in range(0, len(phrases[0]), step):
+                trie.add([c[low : low + step] for c in phrases])
                 if trie.size > entries:
                     yield from map(_run_rows, trie.take(entries // 2))
     yield from map(_run_rows, trie.take(0))
@@ -362,9 +364,9 @@ def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, width: int) ->
     """The rows of runs cut at the bounds of the address ranges."""
     schema = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
     for batch in batches:
-        for words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            columns = np.frombuffer(words, np.uint64).reshape(width, -1)
-            counts = decode_varints(counts)
+        for words, counts in zip(batch.column(0), batch.column(1), strict=True):
+            columns = np.frombuffer(words.as_buffer(), np.uint64).reshape(width, -1)
+            counts = decode_varints(counts.as_py())
             cuts = np.append(np.searchsorted(addresses(list(columns)), bounds), columns.shape[1])
             rows = [
                 {"part": p, "words": columns[:, a:b].tobytes(), "counts": encode_varints(counts[a:b])}
@@ -376,8 +378,8 @@ def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, width: int) ->
 
 def _merge(table: pa.Table, width: int, least: int) -> pa.Table:
     """The phrases of a range with their summed counts; a stable sort merges the sorted runs."""
-    parts = [np.frombuffer(w, np.uint64).reshape(width, -1) for w in table["words"].to_pylist()]
-    counts = np.concatenate([decode_varints(c) for c in table["counts"].to_pylist()])
+    parts = [np.frombuffer(w.as_buffer(), np.uint64).reshape(width, -1) for w in table["words"]]
+    counts = np.concatenate([decode_varints(c.as_py()) for c in table["counts"]])
     words = np.concatenate(parts, axis=1)
     keys = addresses(list(words))
     order = np.argsort(keys, kind="stable")
@@ -422,7 +424,9 @@ def _ranges(runs: DataFrame, merge: int) -> np.ndarray:
 def _phrases(rows: DataFrame, seed: int, frequent: Bitmap, pairs: bool, least: int, sizes: dict[str, int]) -> DataFrame:
     """The written table of the phrases of one reading that occur ``least`` times or more."""
     count = partial(_count_phrases, seed=seed, frequent=frequent, pairs=pairs, entries=sizes["entries"], burst=sizes["burst"])
-    runs = materialise(rows.mapInArrow(count, RUN_SCHEMA), "runs")
+    path = scratch_path(rows.sparkSession, "runs")
+    rows.mapInArrow(count, RUN_SCHEMA).write.option("parquet.block.size", RUN_BYTES).parquet(path)
+    runs = rows.sparkSession.read.schema(RUN_SCHEMA).parquet(path)
     width = 2 if pairs else LONGEST
     dealt = runs.select("words", "counts").mapInArrow(
         partial(_deal, bounds=_ranges(runs, sizes["merge"]), width=width), PART_SCHEMA
