@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.lineage import shared_dir
+from millrace.operators.inner_product import top_inner_products
 from millrace.operators.joins import lookup
 from millrace.operators.mljobs import label_index
 
@@ -56,7 +57,13 @@ def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def recommend(model: ALSModel, k: int = 10, name: str = "recommended") -> DataFrame:
-    """The ``k`` best items of every user, best first."""
-    user, item = model.getUserCol(), model.getItemCol()
-    items = F.transform("recommendations", lambda r: r[item])
-    return model.recommendForAllUsers(k).select(user, items.alias(name))
+    """The ``k`` best items of every user, best first; ties go to the smaller item."""
+    best, _ = search(model, k)
+    listed = F.array_sort(F.collect_list(F.struct("position", "item")))
+    items = F.transform(listed, lambda r: r["item"].cast("int"))
+    return best.groupBy(F.col("user").cast("int").alias(model.getUserCol())).agg(items.alias(name))
+
+
+def search(model: ALSModel, k: int = 10, **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """(user, position, item, score) of the ``k`` best items of every user, and the work that finding them took."""
+    return top_inner_products(model.userFactors, model.itemFactors, k, **sizes)

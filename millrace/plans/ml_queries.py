@@ -199,3 +199,10 @@ def als_score(t: Tables) -> DataFrame:
 def als_recommend(t: Tables) -> DataFrame:
     model, _ = _fitted(t)
     return recommend.recommend(model, 10).select("user", F.posexplode("recommended").alias("position", "item"))
+
+
+@query()
+def als_search_work(t: Tables) -> DataFrame:
+    """How many users met each block of items on the way to their best ten."""
+    model, _ = _fitted(t)
+    return recommend.search(model, 10)[1]
