@@ -50,6 +50,7 @@ BURST = 1 << 15
 TRIE_ENTRIES = 1 << 19
 MERGE = 1 << 19
 RUN_ENTRIES = 1 << 13  # phrases of a row of the table of runs
+PIECE_BYTES = 1 << 19  # of text whose words are held at once
 RUN_BYTES = 4 << 20  # of a row group of that table, so that its files can be read in parts
 FILTER_BITS = 27
 
@@ -95,7 +96,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[Toke
     table, known = _table(seed), {}
     for batch in batches:
         langs = batch.column(1).to_pylist()
-        for low, piece in pieces(string_array(batch.column(0))):
+        for low, piece in pieces(string_array(batch.column(0)), PIECE_BYTES):
             found = split_words(piece, table)
             own = langs[low : low + len(piece)]
             for lang in own:
@@ -110,7 +111,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[Toke
 
 
 def _count_words(batches: Iterator[pa.RecordBatch], seed: int, entries: int) -> Iterator[pa.RecordBatch]:
-    """Distinct words of about ``entries`` at a time, with their texts and counts."""
+    """Distinct words of about ``entries / 2`` at a time, with their texts and counts."""
     held: list[pa.Table] = []
     size = 0
     for tokens, langs in _tokens(batches, seed):
@@ -120,14 +121,12 @@ def _count_words(batches: Iterator[pa.RecordBatch], seed: int, entries: int) ->
         lang = pa.array(langs, pa.string()).take(pa.array(tokens.doc[at]))
         held.append(pa.table({"id": ids.view(np.int64), "lang": lang, "word": tokens.texts(at), "n": n}))
         size += len(ids)
-        if size > 2 * entries:
-            held = [_merged_words(held)]
-            size = held[0].num_rows
-            if size > entries:
-                yield from held[0].to_batches()
-                held, size = [], 0
+        if size > entries // 2:  # the rows are added up once more before they leave their task
+            yield from _merged_words(held).to_batches()
+            held, size = [], 0
     if held:
         yield from _merged_words(held).to_batches()
+    pa.default_memory_pool().release_unused()
 
 
 def _merged_words(tables: list[pa.Table]) -> pa.Table:
@@ -358,6 +357,7 @@ def _count_phrases(
                 if trie.size > entries:
                     yield from map(_run_rows, trie.take(entries // 2))
     yield from map(_run_rows, trie.take(0))
+    pa.default_memory_pool().release_unused()
 
 
 def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
