@@ -4,13 +4,15 @@ checks that rows come out, and the tests check what must hold of them."""
 from __future__ import annotations
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hash_below, hash_threshold
 from millrace.lineage import materialise
+from millrace.operators import fold_search as FS
 from millrace.operators import mljobs as L
 from millrace.operators import ranking as R
 from millrace.operators import recommend
@@ -75,26 +77,46 @@ def compare_models(t: Tables) -> DataFrame:
     return L.compare(L.binary_classifiers(), variants, test)
 
 
-def _search(t: Tables, model: Estimator, grid: dict[str, list]) -> DataFrame:
-    """The mean score of every grid point over two folds, and the best model's on the test rows."""
+def _balanced(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Training rows thinned and multiplied, with the fold of their key, and test rows."""
     train, test = _binary(t)
-    best = L.tune(model, grid, L.f1_evaluator(), folds=2).fit(L.with_folds(train, "vec_id", 2))
+    thinned = X.downsample(train, "label", 0, 6.0, "vec_id", "l11")
+    multiplied = X.oversample(thinned, "label", 1, 10, 0.6, "vec_id", "l11").drop("copy")
+    return L.with_folds(multiplied, "vec_id", 5), test
+
+
+def _search(train: DataFrame, test: DataFrame, model: Estimator, grid: dict[str, list], evaluator=None) -> DataFrame:
+    """The mean score of every grid point over five folds, and the best model's F1 on the test rows."""
+    best = L.tune(model, grid, evaluator or L.f1_evaluator(), folds=5, parallelism=8).fit(materialise(train, "folds"))
     points = [
-        (", ".join(f"{param.name}={value}" for param, value in point.items()), float(f1))
-        for point, f1 in zip(best.getEstimatorParamMaps(), best.avgMetrics)
+        (", ".join(f"{param.name}={value}" for param, value in point.items()), float(score))
+        for point, score in zip(best.getEstimatorParamMaps(), best.avgMetrics)
     ]  # one row a grid point
     tested = L.f1_evaluator().evaluate(best.transform(test))
-    return t.spark.createDataFrame(points, "point string, mean_f1 double").withColumn("best_test_f1", F.lit(tested))
+    frame = train.sparkSession.createDataFrame(points, "point string, mean_score double")
+    return frame.withColumn("best_test_f1", F.lit(tested))
+
+
+# The grids of the searches.
 
 
 @query()
 def tuned_model(t: Tables) -> DataFrame:
-    return _search(t, LogisticRegression(maxIter=20), {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]})
+    """Penalties and thresholds of a logistic regression, all models of five folds side by side."""
+    train, test = _balanced(t)
+    rows = FS.prepared(train), FS.prepared(test.withColumn("_fold", F.lit(0)))
+    return FS.logistic_search(*rows, [0.0, 0.01, 0.1], [0.0, 1.0], [0.2, 0.5, 0.8])
 
 
 @query()
 def tuned_forest(t: Tables) -> DataFrame:
-    return _search(t, RandomForestClassifier(seed=42), {"numTrees": [10, 20], "maxDepth": [3, 5]})
+    grid = {"numTrees": [100, 150], "maxDepth": [5, 10], "maxBins": [16, 32]}
+    return _search(*_balanced(t), RandomForestClassifier(seed=42), grid, BinaryClassificationEvaluator())
+
+
+@query()
+def tuned_svc(t: Tables) -> DataFrame:
+    return _search(*_balanced(t), LinearSVC(), {"regParam": [0.0, 0.01, 0.1]}, BinaryClassificationEvaluator())
 
 
 def _documents(t: Tables) -> DataFrame:
@@ -160,6 +182,32 @@ def tf_idf_models(t: Tables) -> DataFrame:
     )
 
 
+def _text_folds(t: Tables) -> tuple[DataFrame, DataFrame]:
+    train, test = _text_model(t)
+    return L.with_folds(train, "doc_id", 5), test
+
+
+@query()
+def tuned_text_model(t: Tables) -> DataFrame:
+    grid = {"regParam": [0.1, 0.3, 0.5], "elasticNetParam": [0.0, 0.1, 0.2]}
+    return _search(*_text_folds(t), LogisticRegression(maxIter=20), grid)
+
+
+@query()
+def tuned_text_forest(t: Tables) -> DataFrame:
+    grid = {"numTrees": [50, 100, 200], "maxDepth": [3, 4, 5]}
+    return _search(*_text_folds(t), RandomForestClassifier(maxBins=32, seed=42), grid)
+
+
+@query()
+def tuned_bayes(t: Tables) -> DataFrame:
+    """Smoothing of a naive Bayes on the words of the texts, with the vocabulary of each training set."""
+    labelled = L.index_label(_documents(t), "lang", "label").withColumn("label", F.col("label").cast("double"))
+    train, test = _text_halves(labelled.where("label IS NOT NULL"))
+    folds = materialise(L.with_folds(train, "doc_id", 5), "folds")
+    return FS.bayes_search(folds, test, "text", "label", "doc_id", [0.1, 0.5, 1.0, 2.0], stop_words=L.STOP_WORDS)
+
+
 @query()
 def confident_texts(t: Tables) -> DataFrame:
     """The texts most surely taken for the commonest language."""
