@@ -117,6 +117,23 @@ def kcore_two_rounds(t: Tables) -> DataFrame:
     return K.kcore(materialise(plays(t), "plays"), "user_id", "item_id", 20, 20, rounds=2)
 
 
+def _removed_sql(rounds: int) -> str:
+    """Users and items that a round has in its table and the next one hasn't, those of the first round by their counts."""
+    out = []
+    for r in range(1, rounds + 1):
+        before = f"core{r - 1}" if r > 1 else "plays"
+        small = "(SELECT COUNT(*) FROM (SELECT {0} FROM {1} GROUP BY {0} HAVING COUNT(*) <= 20) s)"
+        users, items = (small.format(key, before) for key in ("user_id", "item_id"))
+        out.append(f"SELECT {r} AS round, {users} AS n_users, {items} AS n_items")
+    return f"SELECT * FROM ({' UNION ALL '.join(out)}) s WHERE n_users + n_items > 0"
+
+
+@query(f"{_core_sql(_ROUNDS, 20, 20)} {_removed_sql(_ROUNDS)}")
+def kcore_rounds(t: Tables) -> DataFrame:
+    """What each round of peeling takes out."""
+    return K.kcore_rounds(materialise(plays(t), "plays"), "user_id", "item_id", 20, 20)
+
+
 _RETENTION = " UNION ALL ".join(
     f"SELECT '{name}' AS measure, b AS before, a AS after, ROUND(a / CAST(b AS DOUBLE), 8) AS kept "
     f"FROM (SELECT (SELECT {expr} FROM plays) AS b, (SELECT {expr} FROM core{_ROUNDS}) AS a) s"

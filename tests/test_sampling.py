@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +99,41 @@ def test_core_equals_brute_force(spark, rows, rounds):
     assert rows(got) == sorted(brute_core(pairs, 3, 4, -1 if rounds is None else rounds), key=str)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_core_of_repeated_rows_and_nulls(spark, rows, seed, monkeypatch):
+    """Many rounds, several buckets and parts; rows without a key count once and go at once."""
+    monkeypatch.setattr(K, "BUCKET_ROWS", 8)
+    monkeypatch.setattr(K, "PART_ROWS", 2)
+    r = random.Random(seed)
+    pairs = [(u, f"i{u + d}") for u in range(14) for d in (0, 1) if r.random() < 0.97]  # a chain that unravels slowly
+    pairs += [(r.randrange(8), f"i{r.randrange(8)}") for _ in range(60)]
+    pairs += [(None, "i1"), (3, None), (None, None), (None, "i13")]
+
+    def plain(table, rounds):
+        while rounds:
+            users, items = Counter(u for u, _ in table), Counter(i for _, i in table)
+            kept = [(u, i) for u, i in table if u is not None and i is not None and users[u] > 1 and items[i] > 1]
+            if kept == table:
+                break
+            table, rounds = kept, rounds - 1
+        return sorted(table, key=str)
+
+    df = spark.createDataFrame(pairs, "u int, i string")
+    for rounds in (0, 1, 3, None):
+        assert rows(K.kcore(df, "u", "i", 1, 1, rounds)) == plain(pairs, -1 if rounds is None else rounds)
+    assert rows(K.kcore(df.limit(0), "u", "i", 1, 1)) == []
+
+
+def test_a_round_opens_the_buckets_of_what_it_removes(spark, plan, monkeypatch):
+    monkeypatch.setattr(K, "BUCKET_ROWS", 8)
+    df = spark.createDataFrame([(u, (u + d) % 50) for u in range(50) for d in range(4)] + [(99, 0)], "u int, i int")
+    peeled = K._Peeling(df, "u", "i", 1, 1, None)
+    pairs = peeled.pairs[True]
+    assert peeled.buckets == 25 and pairs.count() == 200  # the first round took the pair of 99
+    assert {r._bucket for r in pairs.select("_bucket").distinct().collect()} <= set(range(25))
+    assert "PartitionFilters: [isnotnull(_bucket" in plan(pairs.where(F.col("_bucket").isin([3])))
+
+
 def test_core_is_closed_and_keeps_its_columns(spark):
     df = spark.range(4000).select(
         (F.col("id") % 97).cast("string").alias("u"), (F.col("id") * F.col("id") % 61).alias("i"), F.lit(2).alias("w")
