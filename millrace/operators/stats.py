@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.gram import correlations, gram_blocks
 from millrace.operators.ordered import value_steps
 
 
@@ -68,20 +69,14 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlations as (a, b, corr) rows, each over the rows that have both values; one pass.
+    """Pearson correlations as (a, b, corr) rows, each over the rows that have both values.
 
-    A row is exploded into its pairs of values, which every task sums up before the shuffle,
-    so that the plan doesn't grow with the columns.
+    See ``operators.gram``. A correlation is null where a column doesn't vary over these rows, and NaN where
+    they hold a value that isn't finite.
     """
-    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
-    first = values.select("v", F.posexplode("v").alias("i", "x"))
-    pairs = first.select("i", "x", F.posexplode("v").alias("j", "y")).where("i <= j")
-    corr = pairs.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
-    one = F.array(F.struct("i", "j"))
-    two = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    cells = corr.select("corr", F.explode(F.when(F.col("i") == F.col("j"), one).otherwise(two)).alias("at"))
     names = F.array(*[F.lit(c) for c in cols])
-    return cells.select(F.get(names, F.col("at.i")).alias("a"), F.get(names, F.col("at.j")).alias("b"), "corr")
+    corr = correlations(gram_blocks(df, cols))
+    return corr.select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), "corr")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
