@@ -52,6 +52,31 @@ def running_sums(
     )
 
 
+def following(df: DataFrame, col: str, within: list[str], name: str) -> DataFrame:
+    """Add the next greater value of ``col`` in each row's group; null for the last one.
+
+    ``col`` must be distinct within a group. Each slab looks at its own rows, and its last row of a
+    group takes the first one of the slabs behind it.
+    """
+    ranged = materialise(
+        df.repartitionByRange(*[F.col(g) for g in within], F.col(col)).withColumn("_slab", F.spark_partition_id()), "ranged"
+    )
+    firsts = ranged.groupBy(*within, "_slab").agg(F.min(col).alias("_first"))
+    behind = Window.partitionBy(*within).orderBy("_slab")  # a few slabs for a hot group, one for others
+    next_slab = materialise(
+        firsts.select(
+            *[F.col(g).alias(f"_at_{g}") for g in within], F.col("_slab").alias("_at_slab"), F.lead("_first").over(behind).alias("_behind")
+        ),
+        "firsts",
+    )
+    same = F.col("_slab") == F.col("_at_slab")
+    for g in within:
+        same = same & F.col(g).eqNullSafe(F.col(f"_at_{g}"))
+    own = F.lead(col).over(Window.partitionBy(*within, "_slab").orderBy(col))
+    met = ranged.withColumn("_own", own).join(next_slab, same)
+    return met.select(*df.columns, F.coalesce("_own", "_behind").alias(name))
+
+
 def number_rows(df: DataFrame, order: list[Column], name: str = "row", within: list[str] | None = None) -> DataFrame:
     """Consecutive numbers from 1 in the given total order, over the table or per group."""
     return running_sums(df, order, {name: F.lit(1)}, within)

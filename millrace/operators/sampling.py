@@ -15,6 +15,7 @@ from millrace.functions.columns import hash_below, key_hash
 from millrace.lineage import materialise
 from millrace.operators.filters import case_column
 from millrace.operators.joins import key_table, union_all
+from millrace.operators.ordered import number_rows
 
 
 def split(df: DataFrame, key: str | list[str], fractions: list[float], seed: int | str, name: str = "part") -> DataFrame:
@@ -76,6 +77,21 @@ def stratified_split_exact(df: DataFrame, label: str, frac: float, key: str, see
     return union_all([part.select(*df.columns, name) for part in (clear, edge)])
 
 
+def split_per_key(df: DataFrame, key: str, frac: float, row_key: str, seed: int | str, name: str = "split") -> DataFrame:
+    """Mark floor(frac * size) rows of each key, but at least one, as train and the others as test.
+
+    For millions of keys of any size: the rows are numbered within their key in the order of
+    their hashes, with a hot key cut into slabs, and compared with the key's quota. Every key
+    has training rows, so none has to be dropped from the test part afterwards.
+    """
+    hashed = df.withColumn("_hash", key_hash(row_key, seed))
+    numbered = number_rows(hashed, [F.col("_hash"), F.col(row_key)], "_row", [key])
+    share = F.floor(F.count(F.lit(1)) * F.lit(Decimal(str(frac)))).cast("bigint")
+    quota = df.groupBy(F.col(key).alias("_key")).agg(F.greatest(share, F.lit(1)).alias("_quota"))
+    placed = numbered.join(materialise(quota, "quota"), F.col(key).eqNullSafe(F.col("_key")))
+    return placed.select(*df.columns, F.when(F.col("_row") <= F.col("_quota"), "train").otherwise("test").alias(name))
+
+
 def downsample(df: DataFrame, label: str, majority, ratio: float, key: str, seed: int | str) -> DataFrame:
     """Thin the majority class to about ``ratio`` times the size of all other rows, those without a label included."""
     is_major = F.col(label).eqNullSafe(F.lit(majority))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import mean_by
 from millrace.operators.joins import join_dim
-from millrace.operators.ordered import number_rows
+from millrace.operators.ordered import following, number_rows
 
 
 def pivot_mean(df: DataFrame, index: list[str], column: str, value: str, values: list) -> DataFrame:
@@ -21,6 +21,26 @@ def resample_year(df: DataFrame, date: str, value: str, keys: list[str] | None =
     return mean_by(yearly, [*(keys or []), "year"], value)
 
 
+def resample_calendar(
+    df: DataFrame, time: str, value: str, keys: list[str], unit: str = "month", name: str = "period"
+) -> DataFrame:
+    """Mean per key and period of the calendar (day, week, month, quarter or year), empty periods included.
+
+    From a key's first to its last period there is a row for each; one without rows carries the
+    last mean on, and isn't ``observed``. Only the periods with rows are ordered, and a row is
+    repeated up to the next of them, so there is neither a calendar to join nor a window over all.
+    """
+    step = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}[unit]
+    period = F.to_date(F.date_trunc(unit, time)).alias(name)
+    means = df.where(F.col(time).isNotNull()).groupBy(*keys, period).agg(F.avg(value).alias("mean"))
+    spaced = following(means, name, keys, "_next")
+    upto = F.coalesce(F.expr(f"_next - interval {step}").cast("date"), F.col(name))
+    each = F.explode(F.sequence(F.col(name), upto, F.expr(f"interval {step}")))
+    return spaced.select(*keys, each.alias("_at"), "mean", F.col(name)).select(
+        *keys, F.col("_at").alias(name), "mean", (F.col("_at") == F.col(name)).alias("observed")
+    )
+
+
 def only_unflagged(df: DataFrame, flag: str) -> DataFrame:
     """Rows whose quality flag is not set."""
     return df.filter(F.col(flag).isNull() | (F.trim(flag) == ""))

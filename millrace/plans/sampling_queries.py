@@ -49,6 +49,30 @@ def stratified_exact(t: Tables) -> DataFrame:
     return X.stratified_split_exact(t.events.select("event_id", "event_type"), "event_type", 0.8, "event_id", "x3")
 
 
+_PER_USER_SQL = """
+SELECT event_id, user_id,
+       CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY md5('x7:' || event_id), event_id)
+            <= greatest(floor(0.7 * COUNT(*) OVER (PARTITION BY user_id)), 1) THEN 'train' ELSE 'test' END AS split
+FROM events"""
+
+
+@query(_PER_USER_SQL)
+def split_per_user(t: Tables) -> DataFrame:
+    return X.split_per_key(t.events.select("event_id", "user_id"), "user_id", 0.7, "event_id", "x7")
+
+
+@query(
+    f"""
+WITH s AS ({_PER_USER_SQL})
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT user_id) AS n_keys FROM s
+WHERE split = 'test' AND user_id NOT IN (SELECT user_id FROM s WHERE split = 'train')"""
+)
+def uncovered_per_user(t: Tables) -> DataFrame:
+    """Test rows of users without training rows: there are none."""
+    split = materialise(X.split_per_key(t.events.select("event_id", "user_id"), "user_id", 0.7, "event_id", "x7"), "split")
+    return X.uncovered(split.where("split = 'test'"), split.where("split = 'train'"), "user_id")
+
+
 @query(
     """
 WITH n AS (SELECT 2.0 * SUM(toxic) / SUM(1 - toxic) AS f FROM labels)

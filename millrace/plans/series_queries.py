@@ -38,6 +38,30 @@ def resample_year(t: Tables) -> DataFrame:
     return S.resample_year(daily, "l_shipdate", "daily_mean", ["l_returnflag"]).withColumn("mean", F.round("mean", 6))
 
 
+_CALENDAR_SQL = """
+WITH m AS (
+  SELECT {key}, CAST(date_trunc('{unit}', {time}) AS DATE) AS period, ROUND(AVG({value}), 6) AS mean FROM {table} GROUP BY 1, 2),
+s AS (
+  SELECT {key}, CAST(unnest(generate_series(MIN(period), MAX(period), INTERVAL 1 {unit})) AS DATE) AS period FROM m GROUP BY 1)
+SELECT {key}, strftime(period, '%Y-%m-%d') AS period,
+       last_value(mean IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY period) AS mean, mean IS NOT NULL AS observed
+FROM s LEFT JOIN m USING ({key}, period)"""
+
+
+@query(_CALENDAR_SQL.format(key="user_id", unit="day", time="ts", value="value", table="events"))
+def resample_days(t: Tables) -> DataFrame:
+    """Each user's daily means, days without events filled from the last one with any."""
+    days = S.resample_calendar(t.events, "ts", "value", ["user_id"], "day")
+    return days.select("user_id", F.date_format("period", "yyyy-MM-dd").alias("period"), F.round("mean", 6).alias("mean"), "observed")
+
+
+@query(_CALENDAR_SQL.format(key="o_custkey", unit="month", time="o_orderdate", value="o_totalprice", table="orders"))
+def resample_months(t: Tables) -> DataFrame:
+    """Each customer's monthly means, months without orders filled from the last one with any."""
+    months = S.resample_calendar(t.orders, "o_orderdate", "o_totalprice", ["o_custkey"], "month")
+    return months.select("o_custkey", F.date_format("period", "yyyy-MM-dd").alias("period"), F.round("mean", 6).alias("mean"), "observed")
+
+
 @query("SELECT element, day, ROUND(AVG(value), 6) AS mean FROM obs GROUP BY element, day")
 def daily_average(t: Tables) -> DataFrame:
     return A.mean_by(obs(t), ["element", "day"], "value").withColumn("mean", F.round("mean", 6))
