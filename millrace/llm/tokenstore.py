@@ -27,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,10 @@ _TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("tokens"
 
 # Words whose tokens are the same wherever a word or a line ends before them and another begins after them.
 _PLAIN = re.compile(r" ?\S(?:[^\n]*\S)?")
+# Most of them are known by their bytes: visible ASCII or a Latin letter at both ends, and no line end.
+_PLAIN_BYTES = re.compile(
+    rb" ?(?:[\x21-\x7E]|[\xC3-\xC9][\x80-\xBF])(?:[^\n]*(?:[\x21-\x7E]|[\xC3-\xC9][\x80-\xBF]))?"
+)
 
 
 class WordEncoder:
@@ -93,30 +98,32 @@ class WordEncoder:
         cut[offsets] = True
         return np.flatnonzero(cut)
 
-    def _learn(self, words: list[bytes], special: bool) -> None:
-        """Encode words that aren't known yet; plain ones as one text, which the ids' lengths take apart."""
-        texts = [word.decode() for word in words]
-        plain = [_PLAIN.fullmatch(text) is not None for text in texts]
+    def _learn(self, words: list[bytes], special: bool) -> np.ndarray:
+        """Encode words that aren't known yet, and number them; plain ones as one text, which the ids' lengths take apart."""
+        surely = _PLAIN_BYTES.fullmatch
+        plain = [surely(word) is not None or _PLAIN.fullmatch(word.decode()) is not None for word in words]
         if special:
-            plain = [ok and not any(s in text for s in self.special) for ok, text in zip(plain, texts, strict=True)]
+            marks = [s.encode() for s in self.special]
+            plain = [ok and not any(s in word for s in marks) for ok, word in zip(plain, words, strict=True)]
         joined = [i for i, ok in enumerate(plain) if ok]
-        groups = []
-        for low in range(0, len(joined), JOINED):
-            own = [texts[i] for i in joined[low : low + JOINED]]
-            groups.append("".join([text if text[0] == " " else "\n" + text for text in own]))
+        lined = [words[i] if words[i][0] == 0x20 else b"\n" + words[i] for i in joined]
+        groups = [b"".join(lined[low : low + JOINED]).decode() for low in range(0, len(lined), JOINED)]
+        lengths = np.fromiter(map(len, lined), np.int64, len(lined))  # in bytes, with the line ends put before
+        line = np.fromiter((word[0] == 0x0A for word in lined), bool, len(lined))
         for n, encoding in enumerate(self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)):
-            own = [words[i] for i in joined[n * JOINED : (n + 1) * JOINED]]
+            own = slice(n * JOINED, (n + 1) * JOINED)
             ids = np.array(encoding.ids, np.int32)
-            line = np.array([word[0] != 0x20 for word in own])
-            ends = np.cumsum([len(word) for word in own] + line)  # in bytes, with the line ends put before
-            bounds = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "left") + 1
+            bounds = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths[own]), "left") + 1
             firsts = np.append(0, bounds[:-1])
-            self._keep(np.delete(ids, firsts[line]), bounds - firsts - line)
-        others = [text for text, ok in zip(texts, plain, strict=True) if not ok]
-        for encoding in self.tokenizer.encode_batch_fast(others, add_special_tokens=False):
+            self._keep(np.delete(ids, firsts[line[own]]), bounds - firsts - line[own])
+        others = [i for i, ok in enumerate(plain) if not ok]
+        for encoding in self.tokenizer.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False):
             self._keep(np.array(encoding.ids, np.int32), np.array([len(encoding.ids)]))
-        for i in joined + [i for i, ok in enumerate(plain) if not ok]:
-            self.known[words[i]] = len(self.known)
+        order = joined + others
+        numbers = np.empty(len(words), np.int64)
+        numbers[order] = np.arange(len(self.known), len(self.known) + len(words))
+        self.known.update(zip(words, numbers.tolist(), strict=True))
+        return numbers
 
     def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.ids.append(ids)
@@ -143,17 +150,17 @@ class WordEncoder:
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
-        known = self.known
-        unknown = [word for word in distinct if word not in known]
-        if unknown:
-            self._learn(unknown, bool(whole.any()))
+        numbers = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = self._learn([distinct[i] for i in new], bool(whole.any()))
             self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
-        sizes = self.sizes[0]
-        firsts = np.cumsum(sizes) - sizes
-        codes = np.array([known[word] for word in distinct], np.int64)[coded.indices.to_numpy()]
+        sizes = self.sizes[0].astype(np.int32)
+        firsts = np.cumsum(sizes, dtype=np.int32) - sizes
+        codes = numbers[coded.indices.to_numpy()]
         lengths = sizes[codes]
-        ends = np.cumsum(lengths)
-        places = np.arange(int(ends[-1])) + np.repeat(firsts[codes] - ends + lengths, lengths)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        places = np.arange(int(ends[-1]), dtype=np.int32) + np.repeat(firsts[codes] - ends + lengths, lengths)
         return self.ids[0][places], np.append(0, ends)[np.searchsorted(cuts, offsets)]
 
 
@@ -169,7 +176,7 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> I
             ids, bounds = encoder.encode(piece)
             out = np.insert(ids, bounds[1:], end_id)
             bounds = bounds + np.arange(len(bounds))
-            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(out.astype(np.int32)))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(out))
             rows = [batch.column(0).slice(low, len(piece)), pa.array(np.diff(bounds)), lists]
             yield pa.RecordBatch.from_arrays(rows, schema=_TOKENS)
 
@@ -197,17 +204,24 @@ def write_tokens(
     )
 
 
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """(file, place, doc_id, n_tokens, start): no token is read."""
-    rows = spark.read.schema(TOKEN_SCHEMA).parquet(path)
-    rows = rows.select("doc_id", "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("ids"))  # one row per file; names ascend with the ranges
+def _with_starts(rows: DataFrame, path: str) -> DataFrame:
+    """Add to rows of (file, place, n_tokens) how many ids stand before each."""
+    spark = rows.sparkSession
+    counts = spark.read.schema(TOKEN_SCHEMA).parquet(path).select("n_tokens", F.col("_metadata.file_name").alias("file"))
+    files = counts.groupBy("file").agg(F.sum("n_tokens").alias("ids"))  # one row per file; names ascend with the ranges
     before = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0).cast("long")).alias("before"))
     own = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     within = F.coalesce(F.sum("n_tokens").over(own), F.lit(0).cast("long"))
     rows = rows.withColumn("within", within).join(files, "file")
-    return rows.select("file", "place", "doc_id", "n_tokens", (F.col("before") + F.col("within")).alias("start"))
+    return rows.withColumn("start", F.col("before") + F.col("within")).drop("before", "within")
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, doc_id, n_tokens, start): no token is read."""
+    rows = spark.read.schema(TOKEN_SCHEMA).parquet(path)
+    place = F.col("_metadata.row_index").alias("place")
+    return _with_starts(rows.select(F.col("_metadata.file_name").alias("file"), place, "doc_id", "n_tokens"), path)
 
 
 def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: int | None = None) -> DataFrame:
@@ -223,14 +237,16 @@ def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: in
 def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column(3)
-        flat, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-        sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        yield pa.RecordBatch.from_pydict({"file": batch.column(0), "place": batch.column(1), "ids_crc32": pa.array(sums, pa.int64())})
+        offsets = lists.offsets.to_numpy()
+        flat = lists.values.to_numpy().astype("<u4", copy=False)
+        sums = [zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        found = {"n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "ids_crc32": pa.array(sums, pa.int64())}
+        yield pa.RecordBatch.from_pydict({c: batch.column(i) for i, c in enumerate(("file", "place", "doc_id"))} | found)
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
-    """(file, place, ids_crc32) of what ``read_tokens`` gives: the CRC-32 of the ids as little-endian 32-bit numbers."""
-    return tokens.mapInArrow(_crc, "file string, place long, ids_crc32 long")
+    """(file, place, doc_id, n_tokens, ids_crc32) of what ``read_tokens`` gives: the CRC-32 of the ids as little-endian 32-bit numbers."""
+    return tokens.mapInArrow(_crc, "file string, place long, doc_id long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -238,5 +254,4 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer)
-    read = read_metadata(spark, path).join(checksums(read_tokens(spark, path)), ["file", "place"])
-    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _with_starts(checksums(read_tokens(spark, path)), path).select("doc_id", "start", "n_tokens", "ids_crc32")
