@@ -9,6 +9,7 @@ from millrace.functions import columns as C
 from millrace.lineage import materialise
 from millrace.operators import aggregates as A
 from millrace.operators import filters as P
+from millrace.operators import heavy as H
 from millrace.operators import joins as J
 from millrace.operators import ranking as R
 from millrace.plans.registry import Tables, query
@@ -603,3 +604,20 @@ def array_suite(t: Tables) -> DataFrame:
     return top.select("user_id", has_seven.alias("has_seven"), F.posexplode("items")).select(
         "user_id", F.col("col").alias("item_id"), (F.col("pos") + 1).alias("rank"), "has_seven"
     )
+
+
+@query("SELECT l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 10")
+def top_groups_by_summary(t: Tables) -> DataFrame:
+    """The ten busiest suppliers; only those that a summary of each task can't rule out are counted."""
+    return H.heavy_hitters(t.lineitem, "l_suppkey", 10)
+
+
+@query(
+    """
+SELECT word, COUNT(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM documents) w
+WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 100"""
+)
+def top_words_by_summary(t: Tables) -> DataFrame:
+    """The hundred commonest words of all documents, without shuffling the rare ones."""
+    words = t.documents.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word"))
+    return H.heavy_hitters(words.where("word <> ''"), "word", 100)

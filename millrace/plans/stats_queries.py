@@ -11,6 +11,7 @@ from millrace.operators import aggregates as A
 from millrace.operators import metrics as M
 from millrace.operators import mljobs
 from millrace.operators import ranking as R
+from millrace.operators import sketches as K
 from millrace.operators import stats as Q
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import FEATURES, feat, plays
@@ -290,3 +291,54 @@ SELECT ROUND(SUM(COALESCE(total, 0) / n_relevant) / COUNT(*), 8) AS map FROM use
 )
 def map_score(t: Tables) -> DataFrame:
     return M.mean_average_precision(_lists(t)).select(F.round("map", 8).alias("map"))
+
+
+_PERIOD = "ts < TIMESTAMP '2024-01-11 00:00:00'"
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT event_type, CAST({p} AS DOUBLE) AS prob, COUNT(value) AS n, TRUE AS within FROM events WHERE {_PERIOD} GROUP BY event_type"
+        for p in (0.1, 0.5, 0.9)
+    )
+)
+def period_quantiles(t: Tables) -> DataFrame:
+    """Quantiles of a period from one stored sketch per type and day, and whether their true ranks are within the bound."""
+    daily = t.events.withColumn("day", F.to_date("ts"))
+    stored = materialise(K.quantile_sketches(daily, ["event_type", "day"], "value"), "sketches")
+    found = K.merged_quantiles(stored.where("day < DATE '2024-01-11'"), ["event_type"], [0.1, 0.5, 0.9])
+    met = t.events.where(_PERIOD).select("event_type", F.col("value").alias("own")).join(materialise(found, "found"), "event_type")
+    ranks = met.groupBy("event_type", "prob", "n").agg(
+        F.count_if(F.col("own") < F.col("value")).alias("below"), F.count_if(F.col("own") <= F.col("value")).alias("upto")
+    )
+    wanted, slack = F.col("prob") * F.col("n"), K.quantile_error() * F.col("n")
+    return ranks.select("event_type", "prob", "n", wanted.between(F.col("below") - slack, F.col("upto") + slack).alias("within"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT DISTINCT event_type, '{measure}' AS measure, TRUE AS within FROM events" for measure in ("all", "early", "lost")
+    )
+)
+def period_distinct(t: Tables) -> DataFrame:
+    """Users of each type in all days, in the first ten, and in these alone, from stored sets, and whether they are within the bound."""
+    daily = t.events.withColumn("day", F.to_date("ts"))
+    stored = materialise(K.set_sketches(daily, ["event_type", "day"], ["user_id"]), "sets")
+    early = F.col("day") < F.lit("2024-01-11").cast("date")
+    sides = stored.groupBy("event_type").agg(
+        K.union_of("user_id").alias("all"),
+        F.theta_union_agg(F.when(early, F.col("user_id")), K.SET_SIZE).alias("early"),
+        F.theta_union_agg(F.when(~early, F.col("user_id")), K.SET_SIZE).alias("late"),
+    )
+    said = {"all": K.distinct("all"), "early": K.distinct("early"), "lost": K.distinct(K.without("early", "late"))}
+    said = sides.select("event_type", *[c.alias(name) for name, c in said.items()])
+    seen = daily.groupBy("event_type", "user_id").agg(F.bool_or(early).alias("early"), F.bool_or(~early).alias("late"))
+    true = seen.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_all"), F.count_if("early").alias("n_early"), F.count_if(F.col("early") & ~F.col("late")).alias("n_lost")
+    )
+    error = 5 * F.col("n_all") / F.lit(2.0 ** (K.SET_SIZE / 2))  # five standard deviations of the largest set
+    each = [
+        F.struct(F.lit(name).alias("measure"), (F.abs(F.col(name) - F.col(f"n_{name}")) <= error).alias("within"))
+        for name in ("all", "early", "lost")
+    ]
+    return said.join(true, "event_type").select("event_type", F.inline(F.array(*each)))
