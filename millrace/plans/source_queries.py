@@ -122,6 +122,26 @@ def read_with_attributes(t: Tables) -> DataFrame:
     return joined.select("track_id", *[F.round(c, 6).alias(c) for c in FEATURES])
 
 
+@query(
+    """
+SELECT dataset, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE CASE dataset WHEN 'moments' THEN vec_id % 7 = 0 ELSE vec_id % 5 = 0 END) AS n_bad
+FROM embeddings, (SELECT unnest(['moments', 'spectrum']) AS dataset) d GROUP BY dataset"""
+)
+def family_bad_lines(t: Tables) -> DataFrame:
+    """Two datasets, one with words among its numbers, one with lines that end early."""
+    root = _write_feature_files(t)
+    rows = feat(t)
+    for name, (cols, _, _) in _DATASETS.items():
+        if name == "moments":
+            line = [F.when(F.col("vec_id") % 7 == 0, "none").otherwise(F.col(cols[0]).cast("string")), *cols[1:], "vec_id"]
+            text = F.concat_ws(",", *line)
+        else:
+            text = F.when(F.col("vec_id") % 5 == 0, F.concat_ws(",", *cols[:3])).otherwise(F.concat_ws(",", *cols, "vec_id"))
+        rows.select(text.alias("value")).write.text(f"{root}/broken/{name}.csv")
+    family = delimited.load_family(t.spark, list(_DATASETS), root, features="broken/{}.csv")
+    return delimited.bad_lines(family).groupBy("dataset").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad").alias("n_bad"))
+
+
 @query(
     "SELECT DISTINCT CASE p_size % 4 WHEN 0 THEN 'NUMERIC' WHEN 1 THEN 'real' WHEN 2 THEN 'string' ELSE 'STRING' END AS type "
     "FROM part"

@@ -91,3 +91,27 @@ def test_profile_and_peek(spark, rows):
     df = spark.range(5)
     assert rows(tables.profile({"r": df, "e": df.limit(0)})) == [("e", 0, 1, "id bigint"), ("r", 5, 1, "id bigint")]
     assert rows(tables.first_n(df, 2, [F.desc("id")])) == [(3,), (4,)]
+
+
+def test_family_in_one_job_with_bad_lines(spark, tmp_path, rows):
+    (tmp_path / "attributes").mkdir()
+    (tmp_path / "features").mkdir()
+    (tmp_path / "attributes/m.attributes.csv").write_text("x,real\r\ny, NUMERIC\n\n'id',string\n")
+    (tmp_path / "attributes/n.attributes.csv").write_text("x,real\n")
+    (tmp_path / "features/m.csv").write_text("1.5,2,'a'\nword,3,'b'\n4,5\n6,7,'c',8\n,,\n")
+    (tmp_path / "features/n.csv").mkdir()
+    (tmp_path / "features/n.csv/part-0.csv").write_text("1\n2\n")
+    (tmp_path / "features/n.csv/part-1.csv").write_text("oops\n")
+    tracker, group = spark.sparkContext.statusTracker(), "family"
+    spark.sparkContext.setJobGroup(group, group)
+    family = delimited.load_family(spark, ["m", "n"], str(tmp_path))
+    spark.sparkContext.setJobGroup("after", "after")
+    assert len(tracker.getJobIdsForGroup(group)) == 1
+    assert family["m"].dtypes[:3] == [("x", "double"), ("y", "double"), ("'id'", "string")]
+    got = rows(delimited.bad_lines(family))
+    assert got == [("m", "m.csv", 5, 3), ("n", "part-0.csv", 2, 0), ("n", "part-1.csv", 1, 1)]
+    bad = {r["_corrupt"]: (r["x"], r["y"]) for r in family["m"].where("_corrupt IS NOT NULL").collect()}
+    assert bad == {"word,3,'b'": (None, 3.0), "4,5": (4.0, 5.0), "6,7,'c',8": (6.0, 7.0)}
+    (tmp_path / "attributes/n.attributes.csv").write_text("x,real\ny,blob\n")
+    with pytest.raises(ValueError, match="blob"):
+        delimited.load_family(spark, ["m", "n"], str(tmp_path))
