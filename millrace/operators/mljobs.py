@@ -5,6 +5,11 @@ Every fitted step takes the training rows only: split first, then fit.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -29,7 +34,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hash_fraction
@@ -238,16 +243,24 @@ def with_folds(df: DataFrame, key: str, folds: int = 5, seed: int | str = 42) ->
     return df.withColumn("_fold", F.floor(hash_fraction(key, f"fold{seed}") * folds).cast("int"))
 
 
+def side_by_side(spark: SparkSession, calls: list[Callable[[], DataFrame]], threads: int = 4) -> list[DataFrame]:
+    """The results of calls that fit and evaluate, some at a time: small fits leave most of a cluster idle."""
+    run = inheritable_thread_target(spark)(lambda call: call())
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(run, calls))
+
+
 def compare(
     models: dict[str, Estimator], train_sets: dict[str, DataFrame], test: DataFrame, label: str = "label"
 ) -> DataFrame:
     """The binary metrics of every model trained on every variant of the training set."""
+
+    def evaluated(variant: str, name: str) -> DataFrame:
+        found = train_eval(name, models[name], train_sets[variant], test, label)
+        return found.select(F.lit(variant).alias("train_set"), "*")
+
     return union_all(
-        [
-            train_eval(name, model, train, test, label).select(F.lit(variant).alias("train_set"), "*")
-            for variant, train in train_sets.items()
-            for name, model in models.items()
-        ]
+        side_by_side(test.sparkSession, [partial(evaluated, variant, name) for variant in train_sets for name in models])
     )
 
 

@@ -3,6 +3,8 @@ checks that rows come out, and the tests check what must hold of them."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -51,7 +53,8 @@ def _binary(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query()
 def binary_models(t: Tables) -> DataFrame:
     train, test = _binary(t)
-    return union_all([L.train_eval(name, m, train, test) for name, m in L.binary_classifiers().items()])
+    calls = [partial(L.train_eval, name, m, train, test) for name, m in L.binary_classifiers().items()]
+    return union_all(L.side_by_side(t.spark, calls))
 
 
 @query()
@@ -163,18 +166,16 @@ def tf_idf(t: Tables) -> DataFrame:
 @query()
 def multiclass_models(t: Tables) -> DataFrame:
     train, test = _text_model(t)
-    return union_all(
-        [L.train_eval_multiclass(name, m, train, test) for name, m in L.multiclass_classifiers().items()]
-    )
+    calls = [partial(L.train_eval_multiclass, name, m, train, test) for name, m in L.multiclass_classifiers().items()]
+    return union_all(L.side_by_side(t.spark, calls))
 
 
 @query()
 def tf_idf_models(t: Tables) -> DataFrame:
     """The classifiers on hashed, weighted words instead of counts."""
     train, test = _text_model(t, L.tf_idf)
-    return union_all(
-        [L.train_eval_multiclass(name, m, train, test) for name, m in L.multiclass_classifiers().items()]
-    )
+    calls = [partial(L.train_eval_multiclass, name, m, train, test) for name, m in L.multiclass_classifiers().items()]
+    return union_all(L.side_by_side(t.spark, calls))
 
 
 def _text_folds(t: Tables) -> tuple[DataFrame, DataFrame]:
