@@ -188,7 +188,7 @@ def op7_secrets(t: Tables) -> DataFrame:
 
 def _url_sql() -> str:
     """The rules, the two Markov models and their calibration, as one statement."""
-    order, least, step = urlfilter.ORDER, urlfilter.LEAST, urlfilter.STEP
+    order, step = urlfilter.ORDER, urlfilter.STEP
     rules = sorted(urlfilter.RULES, key=lambda r: -len(r[1] + r[2]))
 
     def cases(result: Callable) -> str:
@@ -205,7 +205,6 @@ def _url_sql() -> str:
   FROM r, unnest(range(1, len(text) + 1)) AS t(p))""",
         """g AS (SELECT gram, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad
   FROM c WHERE verdict IS NOT NULL GROUP BY gram)""",
-        "total AS (SELECT sum(good) AS good, sum(bad) AS bad FROM g)",
     ]
     for n in range(order + 1):
         shorter = f"1.0::DOUBLE / {urlfilter.ALPHABET}"
@@ -220,8 +219,7 @@ def _url_sql() -> str:
   count(*) FILTER (good > 0) AS t_good, count(*) FILTER (bad > 0) AS t_bad FROM x{n} GROUP BY 1)""")
         ctes.append(f"""e{n} AS (SELECT x.gram, x.good, x.bad, {p[0]} AS p_good, {p[1]} AS p_bad
   FROM x{n} x JOIN k{n} ON context = x.gram[1:{n}] {join})""")
-        ctes.append(f"""m{n} AS (SELECT e.gram, ln(p_good) - ln(p_bad) AS gain FROM e{n} e, total
-  WHERE e.good >= {least} * total.good OR e.bad >= {least} * total.bad)""")
+        ctes.append(f"m{n} AS (SELECT gram, ln(p_good) - ln(p_bad) AS gain FROM e{n})")
     gains = ", ".join(f"m{n}.gain" for n in reversed(range(order + 1)))
     joins = " ".join(f"LEFT JOIN m{n} ON m{n}.gram = c.gram[{order + 1 - n}:]" for n in range(order + 1))
     steps = round(urlfilter.CLIP / step)

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from millrace.lineage import materialise
 
 ORDER = 4
-LEAST = 2.0**-15  # of the SQL twin alone, which leaves rarer grams out; none is up to 2^15 characters a class
 STEP = 0.01
 CLIP = 8.0  # scores beyond it count as it in the calibration
 ALPHABET = 256  # characters that the model of order 0 shares its rest among
