@@ -35,16 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import LETTERS, Words, mix, pieces, split_words, string_array
+from millrace.llm.text import LETTERS, Words, gives_back, mix, pieces, split_words, string_array
 
 BUCKETS = 1 << 17
 PER_LANGUAGE = 200
 RUN, MIXED = 64, 8  # words of a chain in learning; the shortest run of one language in it
 STEPS, RATE, DECAY = 40, 0.25, 1e-6
 LONGEST, PART = 24, 8  # code points of a word that stays whole, and of the parts of a longer one
-FEATURED = 1 << 16  # distinct words whose features are held at once in labelling
-CHAIN_WORDS = 1 << 19  # words, padding included, that go through the chain together
-GATHERED = 1 << 21  # words gathered before they are labelled
+TEXT_BYTES = 1 << 19  # of text whose words are held at once
+FEATURED = 1 << 14  # distinct words whose features are held at once in labelling
+CHAIN_SCORES = 1 << 20  # scores (words, padding included, times labels) that go through the chain together
+GATHERED_SCORES = 1 << 21  # scores gathered before their words are labelled
 
 PREDICTION_SCHEMA = "doc_id long, lang_pred string, score double"
 UNKNOWN = "und"
@@ -150,6 +151,17 @@ def forward_backward(emit: np.ndarray, moves: np.ndarray, start: np.ndarray, act
     return both / np.where(total > 0, total, 1), ahead, back
 
 
+def _moves_expected(emit: np.ndarray, moves: np.ndarray, ahead: np.ndarray, back: np.ndarray, active: np.ndarray) -> np.ndarray:
+    """The expected number of each move, divided by its weight; step by step, so that nothing has labels x labels for a word."""
+    total = np.zeros_like(moves)
+    for t in range(len(active) - 1):
+        n = active[t + 1]
+        behind = emit[t + 1, :n] * back[t + 1, :n]
+        here = ahead[t, :n]
+        total += (here / ((here @ moves) * behind).sum(axis=1, keepdims=True)).T @ behind
+    return total
+
+
 def learn(chains: np.ndarray, truth: np.ndarray, feats: np.ndarray, labels: list[str]) -> Model:
     """Fit to chains of word numbers (steps x chains) and their labels, by Adagrad steps over all of them.
 
@@ -182,9 +194,7 @@ def learn(chains: np.ndarray, truth: np.ndarray, feats: np.ndarray, labels: list
         for j in range(k):
             for column in feats.T:
                 grad_w[:, j] += np.bincount(column, by_word[:, j], BUCKETS)
-        joint = ahead[:-1, :, :, None] * go[None, None] * (emit[1:] * back[1:])[:, :, None, :]
-        joint = joint[pairs]
-        grad_m = seen - (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        grad_m = seen - go * _moves_expected(emit, go, ahead, back, active)
         grad_s = (np.eye(k)[truth[0]] - marginal[0]).sum(axis=0)
         for value, grad, total in zip((weights, moves, start), (grad_w, grad_m, grad_s), sums, strict=True):
             grad = grad - DECAY * len(words) * value
@@ -201,7 +211,7 @@ def _training_chains(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.
     draw = np.random.default_rng(7)
     for batch in batches:
         langs = batch.column(1).to_pylist()
-        for low, piece in pieces(string_array(batch.column(0))):
+        for low, piece in pieces(string_array(batch.column(0)), TEXT_BYTES):
             words = split_words(piece, LETTERS)
             own, bounds, distinct = _lexicon(words)
             known = np.array([lexicon.setdefault(w, len(lexicon)) for w in distinct], np.int64)
@@ -226,6 +236,7 @@ def _training_chains(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.
     return chains.reshape(n, RUN).T, target.reshape(n, RUN).T, features(list(lexicon)), labels
 
 
+@gives_back
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chains, truth, feats, labels = _training_chains(batches)
     k = len(labels)
@@ -279,9 +290,9 @@ def _shares(emit: np.ndarray, owner: np.ndarray, n_texts: int, moves: np.ndarray
     order = np.argsort(-counts, kind="stable")
     order = order[counts[order] > 0]
     low = 0
-    while low < len(order):  # texts of like length together, CHAIN_WORDS with padding at most
+    while low < len(order):  # texts of like length together, CHAIN_SCORES with padding at most
         longest = counts[order[low]]
-        high = min(len(order), low + max(1, CHAIN_WORDS // int(longest)))
+        high = min(len(order), low + max(1, CHAIN_SCORES // (k * int(longest))))
         texts = order[low:high]
         steps = np.arange(longest)
         active = np.searchsorted(-counts[texts], -steps, "left")
@@ -314,13 +325,13 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterat
     for batch in batches:
         shares = np.zeros((batch.num_rows, max(1, len(model.labels))))
         emits, owners, first, held = [], [], 0, 0
-        for low, piece in pieces(string_array(batch.column(at))) if model.labels else ():
+        for low, piece in pieces(string_array(batch.column(at)), TEXT_BYTES) if model.labels else ():
             emit, owner = _emissions(piece, model)
             emits.append(emit)
             owners.append(owner + (low - first))
             held += len(emit)
             end = low + len(piece)
-            if held >= GATHERED or end == batch.num_rows:
+            if held * len(model.labels) >= GATHERED_SCORES or end == batch.num_rows:
                 shares[first:end] = _shares(np.concatenate(emits), np.concatenate(owners), end - first, moves, start)
                 emits, owners, first, held = [], [], end, 0
         total = shares.sum(axis=1)
@@ -328,6 +339,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, at: int) -> Iterat
         yield batch, names[best].tolist(), shares.max(axis=1) / np.where(total > 0, total, 1)
 
 
+@gives_back
 def _rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch, languages, scores in _predict(batches, model, 1):
         yield pa.RecordBatch.from_pydict(
@@ -341,6 +353,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(partial(_rows, model=model), PREDICTION_SCHEMA)
 
 
+@gives_back
 def _known(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: float) -> Iterator[pa.RecordBatch]:
     for batch, languages, scores in _predict(batches, model, at):
         keep = (np.array(languages, object) != UNKNOWN) & (scores >= least)

@@ -7,8 +7,10 @@ that the memory of a task does not follow its batch; a longer text is a piece al
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,27 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)  # multipliers of the hashes; any odd numbe
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+
+
+def gives_back(function: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's function that returns freed memory to the system in the end.
+
+    Workers are used again by later stages, and what one of them once needed would stay with it.
+    """
+
+    @wraps(function)
+    def run(*args, **kwargs):
+        try:
+            yield from function(*args, **kwargs)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if _TRIM:
+                _TRIM(0)
+
+    return run
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     h = h ^ (h >> np.uint64(32))
