@@ -48,13 +48,14 @@ from pyspark.sql import functions as F
 
 from millrace.lineage import materialise
 from millrace.llm.components import components
-from millrace.llm.text import NONBLANK, mix, pieces, shingles, split_words, string_array
+from millrace.llm.text import NONBLANK, gives_back, mix, pieces, shingles, split_words, string_array
 
 WORDS = 5
+TEXT_BYTES = 1 << 19  # of text whose words are held at once
 HEAVY = 1 << 17  # frequent shingles that every task knows at most: 24 bytes each
 REPORTED = 1 << 14  # frequent shingles that a task reports per CHUNK
 CHUNK = 1 << 20  # shingles gathered before a task reports or sends
-SLOT = 1 << 19  # prefix shingles per group of lists, about
+SLOT = 1 << 18  # prefix shingles per group of lists, about
 SHORT = 16  # lists up to this length are verified at once, pair by pair
 SPLIT = 1 << 19  # postings of a frequent shingle that may meet in one task
 SENT = 100_000  # nodes whose texts are asked for by a broadcast, of less than 100 bytes each; more by a shuffle
@@ -89,7 +90,7 @@ _KEY_BYTES = 16
 
 def _sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
     """The row and the shingle set of every text of a batch."""
-    for low, piece in pieces(string_array(batch.column(column))):
+    for low, piece in pieces(string_array(batch.column(column)), TEXT_BYTES):
         for i, own in enumerate(shingles(split_words(piece, NONBLANK), WORDS)):
             yield low + i, own
 
@@ -119,6 +120,7 @@ def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([*nothing, *found], schema=_DOC)
 
 
+@gives_back
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with its node, and rows with frequent shingles."""
     gathered, held = [], 0
@@ -223,6 +225,7 @@ class _Postings:
         self.clear()
 
 
+@gives_back
 def _postings(batches, slots: int, heavy: np.ndarray, rank: np.ndarray, spread: np.ndarray):
     out = _Postings(slots, heavy, spread)
     for batch in batches:
@@ -302,6 +305,7 @@ def _lists(key: tuple, table: pa.Table, slots: int) -> pa.Table:
     )
 
 
+@gives_back
 def _rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sizes and bitmaps of both) -> (a, b) that may be similar.
 
@@ -323,6 +327,7 @@ def _rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
 
+@gives_back
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> (a, b) whose sets are similar enough."""
     for batch in batches:
@@ -382,9 +387,20 @@ def _candidates(entries: DataFrame, others: DataFrame, more: Column) -> DataFram
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
+def _with_first(entries: DataFrame) -> DataFrame:
+    """Distinct pairs of a list's nodes with its first one, of similar size and another component; each row knows that node."""
+    first = entries.select(*[F.col(f"first.{c}").alias(f"{c}_b") for c in ("node", "n", "place", "component")], *entries.columns)
+    left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
+    enough = 7 * left >= 3 * (F.col("n") + F.col("n_b"))
+    differ = (F.col("component") != F.col("component_b")) & (F.col("node") != F.col("node_b"))
+    pairs = first.where(_similar_size("n", "n_b") & enough & differ)
+    return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+
+
 def _of_lists(rows: DataFrame) -> DataFrame:
     component = [F.min("component").alias("low"), F.max("component").alias("high")] if "component" in rows.columns else []
-    first = F.min_by(F.struct("node", "n"), "node").alias("first")
+    known = [c for c in ("node", "n", "place", "component") if c in rows.columns]
+    first = F.min_by(F.struct(*known), "node").alias("first")
     return rows.groupBy("token", "part").agg(F.count("*").alias("length"), first, *component)
 
 
@@ -414,7 +430,8 @@ def _joined(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         if turn > 1:
             every = F.ceil(F.col("length") / F.lit(8 ** (turn - 1)))
             is_pivot = is_pivot | (F.pmod(F.xxhash64("node", F.lit(turn)), every) == 0)
-        pairs = pairs.unionByName(_candidates(long, long.where(is_pivot), differ)).distinct()
+        pivots = _with_first(long) if turn == 1 else _candidates(long, long.where(is_pivot), differ)
+        pairs = pairs.unionByName(pivots).distinct()
         pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(_linked(pairs, nodes, docs))
         checked = checked.unionByName(pairs)
