@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.lineage import materialise
-from millrace.llm.text import ALNUM, decode_varints, encode_varints, pieces, split_words, string_array
+from millrace.llm.text import ALNUM, decode_varints, encode_varints, gives_back, pieces, split_words, string_array
 
 SEGMENT_WORDS = 1 << 19
-BLOCK_WORDS = 1 << 19  # words of the test phrases that one block holds, about
+TEXT_BYTES = 1 << 19  # of text whose words are held at once
+BLOCK_WORDS = 1 << 18  # words of the test phrases that one block holds, about
 
 INDEX_SCHEMA = (
     "segment long, doc_ids array<bigint>, lengths array<int>, terms binary, counts binary, postings binary"
@@ -72,12 +73,13 @@ _INDEX_ARROW = pa.schema(
 )
 
 
+@gives_back
 def _index(batches: Iterator[pa.RecordBatch], segment_words: int) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     ids, lengths, words, held = [], [], [], 0
     for batch in batches:
         texts, doc_ids = string_array(batch.column(1)), batch.column(0).to_pylist()
-        for low, piece in pieces(texts):
+        for low, piece in pieces(texts, TEXT_BYTES):
             found = split_words(piece, ALNUM)
             for i in range(len(piece)):
                 own = found.hashes[found.bounds[i] : found.bounds[i + 1]]
@@ -101,10 +103,11 @@ def build_index(
     return materialise(rows.mapInArrow(partial(_index, segment_words=segment_words), INDEX_SCHEMA), "index")
 
 
+@gives_back
 def _phrases(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        for low, piece in pieces(string_array(batch.column(1))):
+        for low, piece in pieces(string_array(batch.column(1)), TEXT_BYTES):
             found = split_words(piece, ALNUM)
             rows = []
             for i in range(len(piece)):
@@ -150,12 +153,42 @@ def _near(lists: list[np.ndarray], terms: list[int], reach: int) -> np.ndarray:
     return starts
 
 
-def _match(batches: Iterator[pa.RecordBatch], items: list, windows: list[np.ndarray], slop: int):
-    wanted = np.unique(np.concatenate(windows)) if windows else np.zeros(0, np.uint64)
-    numbers = [np.searchsorted(wanted, window) for window in windows]
+BLOCK_SCHEMA = "block int, items binary, known binary, sizes binary, wanted binary"
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """The phrases of a block as one row: items (0 where null), which are known, phrase lengths and terms."""
+    items = table["item_id"].combine_chunks()
+    terms = table["terms"].combine_chunks()
+    row = {
+        "block": table["block"][0].as_py(),
+        "items": items.fill_null(0).to_numpy().tobytes(),
+        "known": items.is_valid().to_numpy(zero_copy_only=False).tobytes(),
+        "sizes": terms.value_lengths().to_numpy().astype(np.int32).tobytes(),
+        "wanted": terms.flatten().to_numpy().tobytes(),
+    }
+    kinds = [pa.int32()] + [pa.binary()] * 4
+    return pa.Table.from_pylist([row], pa.schema(list(zip(row, kinds, strict=True))))
+
+
+def _unpack(row: dict) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Items as one-element tuples, so that a null id stays a key of its own; terms, which each phrase has, their bounds."""
+    items, known = np.frombuffer(row["items"], np.int64), np.frombuffer(row["known"], bool)
+    sizes, flat = np.frombuffer(row["sizes"], np.int32), np.frombuffer(row["wanted"], np.uint64)
+    wanted, numbers = np.unique(flat, return_inverse=True)
+    names = [(int(i) if ok else None,) for i, ok in zip(items, known, strict=True)]
+    return names, wanted, numbers, np.append(0, np.cumsum(sizes))
+
+
+@gives_back
+def _match(batches: Iterator[pa.RecordBatch], slop: int):
+    block, unpacked = None, None
     for batch in batches:
-        for segment in batch.to_pylist():
-            rows = list(_match_segment(segment, items, wanted, numbers, slop))
+        for i in range(batch.num_rows):
+            segment = batch.slice(i, 1).to_pylist()[0]
+            if segment["block"] != block:  # all rows of a pass have the same one
+                block, unpacked = segment["block"], _unpack(segment)
+            rows = list(_match_segment(segment, *unpacked, slop))
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, _MATCH_ARROW)
 
@@ -171,7 +204,7 @@ _MATCH_ARROW = pa.schema(
 )
 
 
-def _match_segment(segment: dict, items: list, wanted: np.ndarray, numbers: list[np.ndarray], slop: int):
+def _match_segment(segment: dict, items: list, wanted: np.ndarray, numbers: np.ndarray, bounds: np.ndarray, slop: int):
     terms = np.frombuffer(segment["terms"], np.uint64)
     if not len(terms):
         return
@@ -194,9 +227,9 @@ def _match_segment(segment: dict, items: list, wanted: np.ndarray, numbers: list
     lengths = np.array(segment["lengths"], np.int64)
     firsts = np.cumsum(lengths + 1) - (lengths + 1)  # the place of each document's first word
     found: dict[tuple[int, int], set[tuple[int, int]]] = {}
-    for item, window in zip(items, numbers, strict=True):
-        if not there[window].all():
-            continue
+    whole = np.logical_and.reduceat(there[numbers], bounds[:-1]) if len(numbers) else np.zeros(0, bool)
+    for k in np.flatnonzero(whole).tolist():  # phrases all of whose terms are there
+        item, window = items[k], numbers[bounds[k] : bounds[k + 1]]
         own = [places(int(number)) for number in window]
         reach = len(window) + slop
         for start in _near(own, window.tolist(), reach) if slop else _exact(own):
@@ -240,20 +273,20 @@ def _joined(spans: set[tuple[int, int]]) -> list[tuple[int, int]]:
 def find_phrases(index: DataFrame, phrases: DataFrame, slop: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Where the phrases occur: per segment, document and item the covered word spans.
 
-    The phrases go to the tasks in blocks of about ``block_words`` words; a block is all
-    that the driver and a task hold of them.
+    The phrases are written in blocks of about ``block_words`` words, each a row. A pass over the
+    index sends one of them to the tasks; the driver sees none.
     """
-    written = materialise(phrases, "phrases")
+    written = materialise(phrases.where(F.size("terms") > 0), "phrases")
     words = written.agg(F.sum(F.size("terms"))).first()[0] or 0
     blocks = max(1, -(-words // block_words))
+    block = F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)).cast("int")
+    packed = materialise(written.withColumn("block", block).groupBy("block").applyInArrow(_pack, BLOCK_SCHEMA), "blocks")
     found = None
-    for block in range(blocks):
-        own = F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)) == block
-        rows = written.where(own).select("item_id", "terms").collect()
-        # Items as one-element tuples, so that a null id stays a key of its own.
-        items = [(row["item_id"],) for row in rows]
-        windows = [np.array(row["terms"], np.int64).view(np.uint64) for row in rows]
-        part = index.mapInArrow(partial(_match, items=items, windows=windows, slop=slop), MATCH_SCHEMA)
+    for number in range(blocks):
+        own = F.broadcast(packed.where(F.col("block") == number))  # one row
+        at = (F.pmod("segment", F.lit(1)) + number).alias("at")  # the number, for every segment
+        met = index.select("*", at).join(own, F.col("at") == F.col("block")).drop("at")
+        part = met.mapInArrow(partial(_match, slop=slop), MATCH_SCHEMA)
         found = part if found is None else found.unionByName(part)
     return found
 
