@@ -17,8 +17,9 @@ frequent shingles, and the ``HEAVY`` most frequent of all go to the tasks.
    with the first node of the longest list it is in; in round ``k`` after it, every open list
    has ``8 ** (k - 1)`` pivots, about, which are compared with its nodes of other components. First by bitmaps, of a
    few bits a shingle, each flipped by the shingles that hash to it: bitmaps that differ in
-   more places than similar sets have different shingles rule a pair out for certain. What
-   remains is verified on the whole texts, which only these nodes need.
+   more places than similar sets have different shingles rule a pair out for certain. Long lists
+   are joined under the same condition on bitmaps of ``SKETCH`` words, so that pairs which it rules
+   out are never made. What remains is verified on the whole texts, which only these nodes need.
    Linked nodes join components; a list is closed when all its nodes are of one component
    or every pair of different components has been verified. Lists up to ``SHORT`` nodes
    are finished in the third round. Lists of near copies of one text, however long and many,
@@ -58,6 +59,7 @@ CHUNK = 1 << 20  # shingles gathered before a task reports or sends
 SLOT = 1 << 18  # prefix shingles per group of lists, about
 SHORT = 16  # lists up to this length are verified at once, pair by pair
 SPLIT = 1 << 19  # postings of a frequent shingle that may meet in one task
+SKETCH = 8  # words of 64 bits of the bitmaps that the joins of long lists compare
 SENT = 100_000  # nodes whose texts are asked for by a broadcast, of less than 100 bytes each; more by a shuffle
 
 _DOC = pa.schema(
@@ -67,11 +69,12 @@ _DOC = pa.schema(
         ("n", pa.int64()),
         ("node_key", pa.binary()),
         ("bitmap", pa.binary()),
+        ("sketch", pa.list_(pa.int64())),
         ("token", pa.int64()),
         ("count", pa.int64()),
     ]
 )
-DOC_SCHEMA = "doc_id long, text_key string, n long, node_key binary, bitmap binary, token long, count long"
+DOC_SCHEMA = "doc_id long, text_key string, n long, node_key binary, bitmap binary, sketch array<long>, token long, count long"
 _BLOB = pa.schema(
     [
         ("slot", pa.int64()),
@@ -106,6 +109,13 @@ def _bitmap(own: np.ndarray) -> bytes:
     return np.packbits(counts & 1, bitorder="little").tobytes()
 
 
+def _sketch(own: np.ndarray) -> np.ndarray:
+    """The same parities in ``SKETCH`` words, for sets of any size."""
+    bits = 64 * SKETCH
+    counts = np.bincount((own >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").view(np.int64)
+
+
 def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch | None:
     """The shingles that most of these documents share."""
     tokens = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
@@ -115,7 +125,7 @@ def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch | None:
     often = often[np.argsort(-counts[often], kind="stable")[:REPORTED]]
     if not len(often):
         return None
-    nothing = [pa.nulls(len(often), field.type) for field in _DOC][:5]
+    nothing = [pa.nulls(len(often), field.type) for field in _DOC][:6]
     found = [pa.array(tokens[starts[often]].view(np.int64)), pa.array(counts[often])]
     return pa.RecordBatch.from_arrays([*nothing, *found], schema=_DOC)
 
@@ -125,10 +135,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with its node, and rows with frequent shingles."""
     gathered, held = [], 0
     for batch in batches:
-        sizes, keys, bitmaps = [], [], []
+        sizes, keys, bitmaps, sketches = [], [], [], []
         for _, own in _sets(batch, 2):
             sizes.append(len(own))
             bitmaps.append(_bitmap(own))
+            sketches.append(_sketch(own))
             keys.append(_digest(own.tobytes()))
             gathered.append(own)
             held += len(own)
@@ -139,6 +150,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = pa.nulls(len(sizes), pa.int64())
         columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bitmaps, pa.binary())]
         columns[1] = string_array(columns[1])
+        columns.append(pa.array(sketches, _DOC.field("sketch").type))
         yield pa.RecordBatch.from_arrays([*columns, nothing, nothing], schema=_DOC)
     if (report := _frequent(gathered)) is not None:
         yield report
@@ -379,10 +391,14 @@ def _similar_size(m: str, n: str) -> Column:
 
 
 def _candidates(entries: DataFrame, others: DataFrame, more: Column) -> DataFrame:
-    """Distinct pairs of a list's nodes of similar size that satisfy ``more``."""
-    b = others.select("token", "part", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component")])
+    """Distinct pairs of a list's nodes of similar size that satisfy ``more``, and whose sketches, if given, don't rule them out."""
+    known = [c for c in ("node", "n", "place", "component", "sketch") if c in others.columns]
+    b = others.select("token", "part", *[F.col(c).alias(f"{c}_b") for c in known])
     left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))  # the shared one and those after it
     enough = 7 * left >= 3 * (F.col("n") + F.col("n_b"))
+    if "sketch" in known:
+        words = [F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH)]
+        more = more & (7 * sum(words[1:], words[0]) <= F.col("n") + F.col("n_b"))
     pairs = entries.join(b, ["token", "part"]).where(_similar_size("n", "n_b") & enough & more)
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
@@ -430,7 +446,8 @@ def _joined(entries: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         if turn > 1:
             every = F.ceil(F.col("length") / F.lit(8 ** (turn - 1)))
             is_pivot = is_pivot | (F.pmod(F.xxhash64("node", F.lit(turn)), every) == 0)
-        pivots = _with_first(long) if turn == 1 else _candidates(long, long.where(is_pivot), differ)
+            told = long.join(nodes.select("node", "sketch"), "node")
+        pivots = _with_first(long) if turn == 1 else _candidates(told, told.where(is_pivot), differ)
         pairs = pairs.unionByName(pivots).distinct()
         pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(_linked(pairs, nodes, docs))
@@ -471,7 +488,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     nodes = per_doc.where("n > 0").groupBy("node_key").agg(
-        F.min("n").alias("n"), smallest.alias("first"), F.first("bitmap").alias("bitmap")
+        F.min("n").alias("n"), smallest.alias("first"), F.first("bitmap").alias("bitmap"), F.first("sketch").alias("sketch")
     )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = lists.where("token IS NULL").select("gid", "node_key").join(nodes.select("node_key", "node", "n"), "node_key")

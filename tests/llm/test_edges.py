@@ -6,8 +6,10 @@ import random
 import zipfile
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import credentials, decontam, exactdedup, jaccard, langid, packing, tokenstore, toxicity, urlfilter, warczip
 from millrace.llm.components import components
@@ -89,6 +91,16 @@ def test_near_against_brute_force(spark):
     assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)] == want
 
 
+def test_long_lists_make_no_pairs_that_bitmaps_rule_out(spark):
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 62, 200, dtype=np.uint64)
+    sets = [np.concatenate([base[: 200 - lost], r.integers(0, 1 << 62, lost, dtype=np.uint64)]) for lost in [0, 20] + 30 * [90]]
+    rows = [(7, 0, node, 200, 0, node, jaccard._sketch(np.sort(own)).tolist()) for node, own in enumerate(sets)]
+    entries = spark.createDataFrame(rows, "token long, part long, node long, n long, place long, component long, sketch array<long>")
+    differ = (F.col("component") != F.col("component_b")) & (F.col("node") != F.col("node_b"))
+    assert [tuple(row) for row in jaccard._candidates(entries, entries, differ).collect()] == [(0, 1)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 20)] + [(30, 40), (40, 30), (50, 50)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()))
