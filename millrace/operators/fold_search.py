@@ -193,9 +193,12 @@ def _margin() -> Column:
     return F.aggregate(product, F.lit(0.0), lambda total, x: total + x) + F.col("intercept")
 
 
-def grouped_auroc(scored: DataFrame, groups: list[str], score: str, label: str) -> DataFrame:
-    """Area under the ROC curve of each group, exact, ties half."""
-    steps = scored.groupBy(*groups, score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("q"))
+def grouped_auroc(scored: DataFrame, groups: list[str], score: str, label: str, n: str | None = None) -> DataFrame:
+    """Area under the ROC curve of each group, exact, ties half; ``n`` counts equal rows."""
+    rows = F.col(n) if n else F.lit(1).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    hit, other = F.when(F.col(label) == 1, rows).otherwise(none), F.when(F.col(label) == 1, none).otherwise(rows)
+    steps = scored.groupBy(*groups, score).agg(F.sum(hit).alias("p"), F.sum(other).alias("q"))
     upto = running_sums(steps, [F.col(score)], {"below": F.col("q")}, groups)
     won = F.sum(F.col("p") * (F.col("below") - F.col("q") / 2.0))
     pairs = F.sum("p").cast("double") * F.sum("q")

@@ -6,8 +6,7 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ from millrace.operators import mljobs as L
 from millrace.operators import ranking as R
 from millrace.operators import recommend
 from millrace.operators import sampling as X
+from millrace.operators.forest_search import forest_search
 from millrace.operators.joins import union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import FEATURES, feat, plays
@@ -113,8 +113,9 @@ def tuned_model(t: Tables) -> DataFrame:
 
 @query()
 def tuned_forest(t: Tables) -> DataFrame:
-    grid = {"numTrees": [100, 150], "maxDepth": [5, 10], "maxBins": [16, 32]}
-    return _search(*_balanced(t), RandomForestClassifier(seed=42), grid, BinaryClassificationEvaluator())
+    """Trees, depth and bins of a forest, by AUROC; one fit a fold and number of bins."""
+    train, test = _balanced(t)
+    return forest_search(materialise(train, "folds"), test, "vec_id", [100, 150], [5, 10], [16, 32], metric="auroc", threads=4, seed=42)
 
 
 def _documents(t: Tables) -> DataFrame:
@@ -191,8 +192,9 @@ def tuned_text_model(t: Tables) -> DataFrame:
 
 @query()
 def tuned_text_forest(t: Tables) -> DataFrame:
-    grid = {"numTrees": [50, 100, 200], "maxDepth": [3, 4, 5]}
-    return _search(*_text_folds(t), RandomForestClassifier(maxBins=32, seed=42), grid)
+    """Trees and depth of a forest on the words of the texts; one fit a fold."""
+    train, test = _text_folds(t)
+    return forest_search(materialise(train, "folds"), test, "doc_id", [50, 100, 200], [3, 4, 5], seed=42)
 
 
 @query()
