@@ -18,7 +18,7 @@ from millrace.operators import mljobs as L
 from millrace.operators import ranking as R
 from millrace.operators import recommend
 from millrace.operators import sampling as X
-from millrace.operators.forest_search import forest_search
+from millrace.operators.forest_search import dealt, forest_search
 from millrace.operators.joins import union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.views import FEATURES, feat, plays
@@ -167,6 +167,7 @@ def tf_idf(t: Tables) -> DataFrame:
 @query()
 def multiclass_models(t: Tables) -> DataFrame:
     train, test = _text_model(t)
+    train = dealt(train, "doc_id")
     calls = [partial(L.train_eval_multiclass, name, m, train, test) for name, m in L.multiclass_classifiers().items()]
     return union_all(L.side_by_side(t.spark, calls))
 
@@ -175,6 +176,7 @@ def multiclass_models(t: Tables) -> DataFrame:
 def tf_idf_models(t: Tables) -> DataFrame:
     """The classifiers on hashed, weighted words instead of counts."""
     train, test = _text_model(t, L.tf_idf)
+    train = dealt(train, "doc_id")
     calls = [partial(L.train_eval_multiclass, name, m, train, test) for name, m in L.multiclass_classifiers().items()]
     return union_all(L.side_by_side(t.spark, calls))
 
