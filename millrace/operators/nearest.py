@@ -9,7 +9,9 @@ lie far apart and only a few of them fall into one of the larger cells; each rou
 therefore costs time in proportion to the table, however the points are clustered.
 
 Points that share a coordinate are reduced to the few smallest ids first, which is
-all an answer can name.
+all an answer can name; so are those at a pole, which is one place whatever the longitude.
+Otherwise cells would have to be as fine as rounding to tell them apart, for nothing. The rounds
+join by shuffles: nothing of a size that follows the table goes through the driver.
 """
 
 from __future__ import annotations
@@ -36,9 +38,19 @@ def _distinct_spots(df: DataFrame, id: str, lat: str, lon: str, keep: int) -> Da
     known = df.select(
         F.col(id).alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")
     ).dropna()
-    nth = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("id"))
     x, y, z = on_sphere("lat", "lon")
-    return known.withColumn("nth", nth).filter(F.col("nth") <= keep).withColumns({"x": x, "y": y, "z": z})
+    return _first_ids(known, ["lat", "lon"], keep).withColumns({"x": x, "y": y, "z": z})
+
+
+def _first_ids(df: DataFrame, by: list[str | Column], keep: int) -> DataFrame:
+    """The rows with the ``keep`` smallest ids of each group."""
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("id"))
+    return df.withColumn("nth", nth).filter(F.col("nth") <= keep).drop("nth")
+
+
+def _spot() -> list[Column]:
+    """Equal for points at one place: a pole has any longitude."""
+    return [F.col("lat"), F.when(F.abs("lat") == 90, 0.0).otherwise(F.col("lon"))]
 
 
 def _cell(edge: float) -> list[Column]:
@@ -72,7 +84,7 @@ def _candidates(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame
         *_cell(edge),
     )
     km = F.round(haversine("lat", "lon", "other_lat", "other_lon"), _DECIMALS)
-    return reach.join(others, ["cx", "cy", "cz"]).withColumn("km", km)
+    return reach.join(others.hint("merge"), ["cx", "cy", "cz"]).withColumn("km", km)
 
 
 def _touches_sphere(edge: float) -> Column:
@@ -110,6 +122,7 @@ def nearest_neighbour(df: DataFrame, id: str, lat: str, lon: str) -> DataFrame:
     )
     points = by_place.select("id", "lat", "lon", "x", "y", "z")
     open_points = by_place.filter(F.col("second_id").isNull()).select(points.columns)
+    points = materialise(_first_ids(points, _spot(), 2), "points")  # a point and another one
     answers = []
     edge = _start_edge(points)
     while True:
@@ -121,7 +134,7 @@ def nearest_neighbour(df: DataFrame, id: str, lat: str, lon: str) -> DataFrame:
             .select("id", F.col("best.km").alias("km"), F.col("best.other_id").alias("other_id"))
         )
         answers.append(materialise(best.filter(_is_safe(edge)), "nearest"))
-        open_points = materialise(open_points.join(answers[-1], "id", "left_anti"), "open")
+        open_points = materialise(open_points.join(answers[-1].hint("merge"), "id", "left_anti"), "open")
         if edge >= _WHOLE_GLOBE or open_points.isEmpty():
             break
         edge *= _GROWTH
@@ -135,8 +148,8 @@ def nearest_neighbour(df: DataFrame, id: str, lat: str, lon: str) -> DataFrame:
     here = F.when(F.col(id) == F.col("_first"), F.col("second_id")).otherwise(F.col("_first"))
     return (
         df.select(id, lat, lon)
-        .join(shared, same_place, "left")
-        .join(found, id, "left")
+        .join(shared.hint("merge"), same_place, "left")
+        .join(found.hint("merge"), id, "left")
         .select(
             id,
             F.when(F.col("_first").isNotNull(), here).otherwise(F.col("_alone_id")).alias("neighbour_id"),
@@ -153,7 +166,7 @@ def nearest_pairs(df: DataFrame, id: str, lat: str, lon: str, n: int) -> DataFra
     """
     points = materialise(
         # the n + 1 smallest ids of a coordinate make up all its pairs that can rank
-        _distinct_spots(df, id, lat, lon, n + 1).select("id", "lat", "lon", "x", "y", "z"),
+        _first_ids(_distinct_spots(df, id, lat, lon, n + 1), _spot(), n + 1).select("id", "lat", "lon", "x", "y", "z"),
         "points",
     )
     edge = _start_edge(points)

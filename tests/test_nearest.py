@@ -86,3 +86,15 @@ def test_no_cross_join(spark, plan):
     text = plan(nearest._candidates(spots, spots, 0.1))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert plan(spots).count("WindowGroupLimit") == 2
+
+
+def test_a_pole_is_one_place(spark):
+    """Any number of longitudes at the poles asks for no finer cells, and the answers are those of all pairs."""
+    rows = [(i, 90.0 if i % 2 else -90.0, float(i)) for i in range(1, 170)] + [(500 + i, 60.0 - i, 3.0 * i) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, lat double, lon double")
+    spots = nearest._first_ids(nearest._distinct_spots(df, "id", "lat", "lon", 2), nearest._spot(), 2)
+    assert spots.count() == 24 and nearest._start_edge(spots) > 0.1
+    got = {r.id: (r.neighbour_id, r.distance_km) for r in nearest.nearest_neighbour(df, "id", "lat", "lon").collect()}
+    assert all(got[i] == ((2 - i % 2 if i > 2 else i + 2), 0.0) for i in range(1, 170))
+    pairs = nearest.nearest_pairs(df, "id", "lat", "lon", 3).collect()
+    assert [(r.id_1, r.id_2, r.distance_km) for r in pairs] == [(1, 3, 0.0), (1, 5, 0.0), (1, 7, 0.0)]
