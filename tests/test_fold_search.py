@@ -1,8 +1,10 @@
 """Searches from additive statistics against models that are fitted anew on each training set."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -107,3 +109,32 @@ def test_areas_by_group(spark):
     got = FS.grouped_auroc(spark.createDataFrame(rows, "g string, s double, y int"), ["g"], "s", "y").collect()
     areas = {r.g: r.auroc for r in got}
     assert areas["a"] == 0.75 and areas["b"] == 0.0 and areas["c"] is None
+
+
+def test_counts_have_no_row_for_each_text(spark, rows):
+    texts = [(i, 0, 1.0, "a a b") for i in range(50)] + [(60, 1, 1.0, "the, A"), (61, 1, 0.0, None)]
+    df = spark.createDataFrame(texts, "id int, _fold int, label double, text string")
+    counts = FS.word_counts(df, "text", "label", "_fold", ["the"])
+    assert rows(counts) == [(0, "a", 1.0, 100, 50), (0, "b", 1.0, 50, 50), (1, "a", 1.0, 1, 1)]
+    assert rows(FS.training_counts(counts, 2, 51)) == [(-1, "a", 1.0, 101, 51), (0, "a", 1.0, 1, 1), (1, "a", 1.0, 100, 50)]
+
+
+def test_scores_do_not_depend_on_the_pieces(monkeypatch):
+    """Texts in pieces of a few words and labels one by one; a text without words, and one longer than a piece."""
+    r = np.random.default_rng(1)
+    seen = r.integers(0, 9, (3, 5, 4)).astype(float)
+    model = FS.Bayes(list("abcde"), np.arange(4.0), seen, (seen.sum(2) > 0) * 1.0, np.full((3, 4), 2.0))
+    words = [None, [], list("abcdeabcdezz"), *[list(r.choice(list("abcdexy"), 4)) for _ in range(40)]]
+    columns = [[i % 3 - 1 for i in range(len(words))], [float(i % 4) for i in range(len(words))], words]
+    kinds = [pa.int32(), pa.float64(), pa.list_(pa.string())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fold", "label", "words"])
+
+    def said():
+        (out,) = FS._said(iter([batch]), SimpleNamespace(value=model), [0.5, 1.0])
+        return sorted(tuple(x.values()) for x in out.to_pylist())
+
+    whole = said()
+    assert sum(x[-1] for x in whole) == 2 * len(words)
+    monkeypatch.setattr(FS, "SCORED_WORDS", 3)
+    monkeypatch.setattr(FS, "SCORED_LABELS", 1)
+    assert said() == whole
