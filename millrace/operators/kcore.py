@@ -26,28 +26,29 @@ PART_ROWS = 1 << 22  # pairs of a file
 
 
 def kcore(
-    df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None = None
+    df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None = None, distinct: bool = False
 ) -> DataFrame:
     """Rows of users with more than ``min_items`` rows and items with more than ``min_users``.
 
     Both tests of a round look at the same table; rounds go on until nothing changes,
     or for a given number of ``rounds``. Rows without a user or an item count in the first
     round and go in it. The rows themselves are filtered from ``df`` in the end, so read
-    ``df`` from storage rather than from a long computation.
+    ``df`` from storage rather than from a long computation. ``distinct`` says that no pair of a
+    user and an item has two rows, as in a table grouped by both.
     """
     if rounds == 0:
         return df
-    peeled = _Peeling(df, user, item, min_items, min_users, rounds)
+    peeled = _Peeling(df, user, item, min_items, min_users, rounds, distinct)
     kept = materialise(peeled.kept(), "core")
     left = df.join(kept.where("_is_user").select(user), user, "left_semi")
     return left.join(kept.where("NOT _is_user").select(item), item, "left_semi").select(*df.columns)
 
 
 def kcore_rounds(
-    df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None = None
+    df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None = None, distinct: bool = False
 ) -> DataFrame:
     """(round, n_users, n_items): what each round removes, as long as it removes anything."""
-    gone = _Peeling(df, user, item, min_items, min_users, rounds).gone()
+    gone = _Peeling(df, user, item, min_items, min_users, rounds, distinct).gone()
     each = [F.count_if(side).alias(name) for name, side in (("n_users", F.col("_is_user")), ("n_items", ~F.col("_is_user")))]
     return gone.groupBy("round").agg(*each)
 
@@ -55,7 +56,9 @@ def kcore_rounds(
 class _Peeling:
     """Users and items removed round by round. Tables of keys have one of both, and ``_is_user`` to tell which."""
 
-    def __init__(self, df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None):
+    def __init__(
+        self, df: DataFrame, user: str, item: str, min_items: int, min_users: int, rounds: int | None, distinct: bool = False
+    ):
         self.user, self.item, self.spark = user, item, df.sparkSession
         self.kinds = dict(df.dtypes)
         self.least = F.when(F.col("_is_user"), F.lit(min_items)).otherwise(F.lit(min_users))
@@ -65,7 +68,7 @@ class _Peeling:
         self.counts = materialise(counts.drop("base"), "counts")  # the rows each key has at first
         self.lowered: list[DataFrame] = []  # of each round but the last: what the keys that are left have lost so far
         if rounds != 1:
-            self._first(df)
+            self._first(df, distinct)
             self._others(rounds)
 
     def _entry(self, is_user: bool, n: Column, base: Column) -> Column:
@@ -85,9 +88,12 @@ class _Peeling:
     def _bucket(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _first(self, df: DataFrame) -> None:
+    def _first(self, df: DataFrame, distinct: bool) -> None:
         """Remove the keys that are too small at first, and write the adjacency of what is left."""
-        pairs = df.groupBy(self.user, self.item).agg(F.count(F.lit(1)).alias("n"))
+        if distinct:
+            pairs = df.select(self.user, self.item, F.lit(1).cast("long").alias("n"))
+        else:
+            pairs = df.groupBy(self.user, self.item).agg(F.count(F.lit(1)).alias("n"))
         bases = {True: "_user_rows", False: "_item_rows"}
         for is_user, name in bases.items():  # a null key meets no count
             own = self._of(self.counts.withColumn("_stays", F.col("n") > self.least), is_user, "n", "_stays")
@@ -124,8 +130,8 @@ class _Peeling:
         return union_all([self._small(r).withColumn("round", F.lit(r)) for r in rounds])
 
     def kept(self) -> DataFrame:
-        """The keys that are left."""
-        kept = self.counts.where(F.col("n") > self.least).drop("n")
+        """The keys that are left, and the rows they had at first."""
+        kept = self.counts.where(F.col("n") > self.least)
         if not self.lowered:
             return kept
         sides = []
@@ -159,6 +165,14 @@ class _Peeling:
             self.lowered.append(materialise(self._total(union_all([left, *losses])), "lowered"))
 
 
+def _shares(sizes: dict[str, DataFrame], measures: list[str]) -> DataFrame:
+    long = {
+        when: df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("measure"), F.col(k).alias(when)) for k in measures])))
+        for when, df in sizes.items()
+    }
+    return long["before"].join(long["after"], "measure").withColumn("kept", F.try_divide("after", "before"))
+
+
 def retention(before: DataFrame, after: DataFrame, user: str, item: str) -> DataFrame:
     """Rows, users and items before and after a filter, and the shares kept."""
     measures = {
@@ -167,9 +181,20 @@ def retention(before: DataFrame, after: DataFrame, user: str, item: str) -> Data
         "items": F.count_distinct(item),
     }
     tables = {"before": before, "after": after}
-    sizes = {when: df.agg(*[m.alias(k) for k, m in measures.items()]) for when, df in tables.items()}
-    long = {
-        when: df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("measure"), F.col(k).alias(when)) for k in measures])))
-        for when, df in sizes.items()
-    }
-    return long["before"].join(long["after"], "measure").withColumn("kept", F.col("after") / F.col("before"))
+    return _shares({when: df.agg(*[m.alias(k) for k, m in measures.items()]) for when, df in tables.items()}, list(measures))
+
+
+def kcore_retention(
+    df: DataFrame, user: str, item: str, min_items: int, min_users: int, distinct: bool = False
+) -> DataFrame:
+    """``retention`` of the stable ``kcore``, from the counts that peeling leaves: its rows are not put together.
+
+    All keys that are left have rows in the core, as many as they had less what they have lost.
+    """
+    peeled = _Peeling(df, user, item, min_items, min_users, None, distinct)
+    sides = [F.count_if(side).alias(name) for name, side in (("users", F.col("_is_user")), ("items", ~F.col("_is_user")))]
+    lost = peeled.lowered[-1].where("_is_user").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_lost"))
+    had = F.coalesce(F.sum(F.when(F.col("_is_user"), F.col("n"))), F.lit(0)).alias("_had")
+    after = peeled.kept().agg(*sides, had).crossJoin(lost).withColumn("rows", F.col("_had") - F.col("_lost"))
+    before = peeled.counts.agg(*sides).crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))
+    return _shares({"before": before, "after": after}, ["rows", "users", "items"])

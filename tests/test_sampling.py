@@ -149,3 +149,17 @@ def test_retention(spark, rows):
     before = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2)], "u int, i int")
     got = rows(K.retention(before, before.filter("u = 1"), "u", "i"))
     assert got == [("items", 2, 2, 1.0), ("rows", 4, 2, 0.5), ("users", 2, 1, 0.5)]
+
+
+def test_retention_of_the_core_from_counts(spark, rows):
+    """The same as from its rows, with repeated rows and nulls; an empty table keeps no share."""
+    r = random.Random(1)
+    pairs = [(u, f"i{u + d}") for u in range(14) for d in (0, 1) if r.random() < 0.97]
+    pairs += [(r.randrange(8), f"i{r.randrange(8)}") for _ in range(60)]
+    pairs += [(None, "i1"), (3, None), (None, None), (None, "i13")]
+    df = spark.createDataFrame(pairs, "u int, i string")
+    expected = rows(K.retention(df, K.kcore(df, "u", "i", 2, 3), "u", "i"))
+    assert rows(K.kcore_retention(df, "u", "i", 2, 3)) == expected and 0 < expected[1][2] < len(pairs)
+    once = df.distinct()
+    assert rows(K.kcore_retention(once, "u", "i", 1, 2, distinct=True)) == rows(K.kcore_retention(once, "u", "i", 1, 2))
+    assert rows(K.kcore_retention(df.limit(0), "u", "i", 1, 1)) == [(m, 0, 0, None) for m in ("items", "rows", "users")]
