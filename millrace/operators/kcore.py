@@ -165,14 +165,6 @@ class _Peeling:
             self.lowered.append(materialise(self._total(union_all([left, *losses])), "lowered"))
 
 
-def _shares(sizes: dict[str, DataFrame], measures: list[str]) -> DataFrame:
-    long = {
-        when: df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("measure"), F.col(k).alias(when)) for k in measures])))
-        for when, df in sizes.items()
-    }
-    return long["before"].join(long["after"], "measure").withColumn("kept", F.try_divide("after", "before"))
-
-
 def retention(before: DataFrame, after: DataFrame, user: str, item: str) -> DataFrame:
     """Rows, users and items before and after a filter, and the shares kept."""
     measures = {
@@ -181,7 +173,12 @@ def retention(before: DataFrame, after: DataFrame, user: str, item: str) -> Data
         "items": F.count_distinct(item),
     }
     tables = {"before": before, "after": after}
-    return _shares({when: df.agg(*[m.alias(k) for k, m in measures.items()]) for when, df in tables.items()}, list(measures))
+    sizes = {when: df.agg(*[m.alias(k) for k, m in measures.items()]) for when, df in tables.items()}
+    long = {
+        when: df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("measure"), F.col(k).alias(when)) for k in measures])))
+        for when, df in sizes.items()
+    }
+    return long["before"].join(long["after"], "measure").withColumn("kept", F.try_divide("after", "before"))
 
 
 def kcore_retention(
@@ -192,9 +189,21 @@ def kcore_retention(
     All keys that are left have rows in the core, as many as they had less what they have lost.
     """
     peeled = _Peeling(df, user, item, min_items, min_users, None, distinct)
-    sides = [F.count_if(side).alias(name) for name, side in (("users", F.col("_is_user")), ("items", ~F.col("_is_user")))]
-    lost = peeled.lowered[-1].where("_is_user").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_lost"))
-    had = F.coalesce(F.sum(F.when(F.col("_is_user"), F.col("n"))), F.lit(0)).alias("_had")
-    after = peeled.kept().agg(*sides, had).crossJoin(lost).withColumn("rows", F.col("_had") - F.col("_lost"))
-    before = peeled.counts.agg(*sides).crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))
-    return _shares({"before": before, "after": after}, ["rows", "users", "items"])
+    sides = {"users": F.count_if("_is_user"), "items": F.count_if(~F.col("_is_user"))}
+    had = F.sum(F.when(F.col("_is_user"), F.col("n")))
+
+    def sizes(table: DataFrame, when: str, measures: dict[str, Column]) -> DataFrame:
+        entries = []
+        for k in measures:
+            values = [(F.coalesce(k, F.lit(0)) if w == when else F.lit(0)).cast("bigint").alias(w) for w in ("before", "after")]
+            entries.append(F.struct(F.lit(k).alias("measure"), *values))
+        return table.agg(*[m.alias(k) for k, m in measures.items()]).select(F.inline(F.array(*entries)))
+
+    parts = [
+        sizes(peeled.counts, "before", sides),
+        sizes(df, "before", {"rows": F.count(F.lit(1))}),
+        sizes(peeled.kept(), "after", sides | {"rows": had}),
+        sizes(peeled.lowered[-1], "after", {"rows": -had}),
+    ]
+    total = union_all(parts).groupBy("measure").agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+    return total.withColumn("kept", F.try_divide("after", "before"))
