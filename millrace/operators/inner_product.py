@@ -10,7 +10,13 @@ Blocks are rows of a written table that double from ``FIRST`` to ``MOST`` items,
 round sends to all tasks is at most ``MOST`` vectors. The open users are written after each
 round; a lost executor costs at most a round.
 
-Products are summed in the order of the elements, so scores do not depend on blocks and
+Within a block, items stand in cells of up to ``CELL`` near ones, with a centre and a radius. A
+user's products in a cell are at most that with its centre and the user's length times the
+radius, so a user meets a block by its cells' bounds, and only cells that may hold one of the
+best ``k`` are multiplied. ``n_pairs`` counts users by items of the blocks they met, whether
+a pair was multiplied or bounded.
+
+Products are summed in the order of the elements, so scores do not depend on blocks, cells and
 batches; a faster matrix product only chooses what is summed. Ties go to the smaller item. A
 null vector, or one with a null, NaN or infinite element, is left out.
 """
@@ -31,9 +37,11 @@ from millrace.operators.ordered import number_rows
 FIRST = 1024
 MOST = 1 << 16
 BATCH = 4096
+CELL = 128
+FOUND = 1 << 20  # chosen products that are held before they are summed
 SLACK = 1e-9  # of the lengths' product: how far a matrix product may be off
 
-_BLOCK_SCHEMA = "block int, top double, n int, items binary, vectors binary"
+_BLOCK_SCHEMA = "block int, top double, n int, items binary, vectors binary, cells binary"
 _STATE_SCHEMA = (
     "block int, open boolean, users binary, vectors binary, items binary, scores binary, n_open long, n_pairs long"
 )
@@ -52,8 +60,28 @@ def _vectors(factors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False)))
 
 
+def near_cells(v: np.ndarray, size: int = CELL) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the vectors in which near ones are neighbours, and the first place of each cell of up to ``size``.
+
+    A part that is too large is halved across the direction in which it is widest.
+    """
+    v = v / max(np.abs(v).max(initial=0.0), np.finfo(float).tiny)  # no square overflows
+    parts, cells = [np.arange(len(v))], []
+    while parts:
+        part = parts.pop()
+        if len(part) <= size:
+            cells.append(part)
+            continue
+        off = v[part] - v[part].mean(0)
+        along = off @ np.linalg.eigh(off.T @ off)[1][:, -1]
+        halved, half = np.argsort(along, kind="stable"), len(part) // 2
+        parts += [part[halved[half:]], part[halved[:half]]]
+    starts = np.cumsum([0] + [len(c) for c in cells[:-1]])
+    return np.concatenate(cells), starts.astype(np.int64)
+
+
 def item_blocks(factors: DataFrame, key: str, vector: str, first: int = FIRST, most: int = MOST) -> DataFrame:
-    """The written blocks: number, greatest length, and the items by falling length."""
+    """The written blocks, by falling length: number, greatest length, and the items by cells."""
     rows = _vectors(factors, key, vector)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
     numbered = number_rows(rows.withColumn("length", length), [F.desc("length"), F.asc("id")], "row")
@@ -66,11 +94,12 @@ def item_blocks(factors: DataFrame, key: str, vector: str, first: int = FIRST, m
         lengths, ids = table["length"].to_numpy(), table["id"].to_numpy()
         order = np.lexsort((ids, -lengths))
         v = np.array(table["v"].combine_chunks().flatten(), float).reshape(len(ids), -1)[order]
+        near, cells = near_cells(v)
         row = {
             "block": table["block"][0].as_py(), "top": lengths.max(), "n": len(ids),
-            "items": ids[order].tobytes(), "vectors": v.tobytes(),
+            "items": ids[order][near].tobytes(), "vectors": v[near].tobytes(), "cells": cells.tobytes(),
         }
-        kinds = [pa.int32(), pa.float64(), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int32(), pa.float64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         return pa.Table.from_pylist([row], pa.schema(list(zip(row, kinds, strict=True))))
 
     numbered = numbered.select(block.cast("int").alias("block"), "length", "id", "v")
@@ -90,22 +119,14 @@ def _batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_pylist([row], _STATE_ARROW)
 
 
-def best_of(
-    users: np.ndarray, v: np.ndarray, items: np.ndarray, w: np.ndarray, best: np.ndarray, scores: np.ndarray, k: int
+def _merged(
+    best: np.ndarray, scores: np.ndarray, user: np.ndarray, items: np.ndarray, values: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The best ``k`` of what each user has (-1 and -inf where there is none) and a block of items."""
-    slack = SLACK * np.sqrt((v * v).sum(1)) * np.sqrt((w * w).sum(1)).max(initial=0.0)
-    near = v @ w.T
-    least = scores[:, -1]
-    if len(items) >= k:
-        least = np.maximum(least, np.partition(near, len(items) - k, axis=1)[:, len(items) - k])
-    user, item = np.nonzero(near >= (least - 2 * slack)[:, None])
-    exact = np.zeros(len(user))
-    for f in range(v.shape[1]):
-        exact += v[user, f] * w[item, f]
-    at = np.concatenate([np.repeat(np.arange(len(users)), best.shape[1]), user])
-    ids = np.concatenate([best.ravel(), items[item]])
-    value = np.concatenate([scores.ravel(), exact])
+    """The best of what each user has and of further products (user, item, value)."""
+    n, k = best.shape
+    at = np.concatenate([np.repeat(np.arange(n), k), user])
+    ids = np.concatenate([best.ravel(), items])
+    value = np.concatenate([scores.ravel(), values])
     order = np.lexsort((ids, -value, at))
     at, ids, value = at[order], ids[order], value[order]
     rank = np.arange(len(at)) - np.searchsorted(at, at)
@@ -113,6 +134,50 @@ def best_of(
     return ids[kept].reshape(-1, k), value[kept].reshape(-1, k)
 
 
+def best_of(
+    v: np.ndarray, items: np.ndarray, w: np.ndarray, cells: np.ndarray, best: np.ndarray, scores: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """The best ``k`` of what each user has (-1 and -inf where there is none) and a block of items.
+
+    Also the number of products that the bounds of the ``cells`` left over.
+    """
+    ends = np.append(cells[1:], len(items))
+    centres = np.add.reduceat(w, cells) / (ends - cells)[:, None]
+    away = w - np.repeat(centres, ends - cells, axis=0)
+    radii = np.sqrt(np.maximum.reduceat((away * away).sum(1), cells))
+    lengths = np.sqrt((v * v).sum(1))
+    slack = SLACK * lengths * np.sqrt(w.shape[1]) * np.abs(w).max()
+    least = scores[:, -1].copy()
+    bounds = v @ centres.T + lengths[:, None] * radii + 3 * slack[:, None]
+    found, n_found, n_products = [], 0, 0
+    for cell, (low, high) in enumerate(zip(cells, ends, strict=True)):
+        at = np.flatnonzero(~(bounds[:, cell] < least))  # a NaN bounds nothing
+        if not len(at):
+            continue
+        near = v[at] @ w[low:high].T
+        n_products += near.size
+        chosen = near >= (least[at] - 2 * slack[at])[:, None]
+        if high - low >= k and np.count_nonzero(chosen) > 2 * k * len(at):
+            least[at] = np.maximum(least[at], np.partition(near, high - low - k, axis=1)[:, high - low - k])
+            chosen = near >= (least[at] - 2 * slack[at])[:, None]
+        user, item = np.nonzero(chosen)
+        if not len(user):
+            continue
+        user, item = at[user], item + low
+        exact = np.zeros(len(user))
+        for f in range(v.shape[1]):
+            exact += v[user, f] * w[item, f]
+        found.append((user, items[item], exact))
+        n_found += len(user)
+        if n_found > FOUND:
+            best, scores = _merged(best, scores, *map(np.concatenate, zip(*found, strict=True)))
+            least = np.maximum(least, scores[:, -1])
+            found, n_found = [], 0
+    if found:
+        best, scores = _merged(best, scores, *map(np.concatenate, zip(*found, strict=True)))
+    return best, scores, n_products
+
+
 def _round(batches: Iterator[pa.RecordBatch], k: int, following: float | None) -> Iterator[pa.RecordBatch]:
     """One block for each batch of users; ``following`` is the length of the first item behind it, if there is one."""
     for batch in batches:
@@ -120,14 +185,10 @@ def _round(batches: Iterator[pa.RecordBatch], k: int, following: float | None) -
             users, items = np.frombuffer(row["users"], np.int64), np.frombuffer(row["block_items"], np.int64)
             v = np.frombuffer(row["vectors"]).reshape(len(users), -1)
             w = np.frombuffer(row["block_vectors"]).reshape(len(items), -1)
+            cells = np.frombuffer(row["block_cells"], np.int64)
             best = np.frombuffer(row["items"], np.int64).reshape(-1, k) if row["items"] else np.full((len(users), k), -1)
             scores = np.frombuffer(row["scores"]).reshape(-1, k) if row["scores"] else np.full((len(users), k), -np.inf)
-            step = max(1, (1 << 22) // max(len(items), 1))  # users whose products are held at once
-            found = [
-                best_of(users[a : a + step], v[a : a + step], items, w, best[a : a + step], scores[a : a + step], k)
-                for a in range(0, len(users), step)
-            ]
-            best, scores = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            best, scores, _ = best_of(v, items, w, cells, best, scores, k)
             if following is None:
                 left = np.zeros(len(users), bool)
             else:
@@ -183,6 +244,7 @@ def top_inner_products(
                 F.col("block").alias("block_number"),
                 F.col("items").alias("block_items"),
                 F.col("vectors").alias("block_vectors"),
+                F.col("cells").alias("block_cells"),
             )
         )
         met = state.join(block, F.col("block") == F.col("block_number")).drop("block_number")

@@ -72,3 +72,37 @@ def test_missing_and_unusable_vectors(spark):
     assert I.top_inner_products(nobody, frame(spark, items), 2)[0].count() == 0
     best, work = I.top_inner_products(frame(spark, users), none, 2)
     assert best.count() == 0 and work.count() == 0
+
+
+def _directed(r, n, directions, spread):
+    turned = directions[np.arange(n) % len(directions)]
+    return turned * r.uniform(0.8, 1.0, (n, 1)) + spread * r.normal(size=turned.shape)
+
+
+@pytest.mark.parametrize("k", [3, 200])
+def test_cells_leave_out_products_but_no_item(k):
+    """Items in few directions: a user multiplies the cells near its own one, and gets what all products give."""
+    r = np.random.default_rng(7)
+    directions = r.normal(size=(40, 8))
+    v, w = _directed(r, 120, directions, 1e-3), _directed(r, 2000, directions, 1e-3)
+    ids = r.permutation(2000)
+    near, cells = I.near_cells(w, 25)
+    assert sorted(near) == list(range(2000)) and cells[0] == 0 and 0 < np.diff([*cells, 2000]).max() <= 25
+    none = np.full((120, k), -1), np.full((120, k), -np.inf)
+    best, scores, n_products = I.best_of(v, ids[near], w[near], cells, *none, k)
+    expected = plain(list(enumerate(v)), list(zip(ids, w, strict=True)), k)
+    assert [list(zip(best[u], scores[u], strict=True)) for u in range(120)] == [expected[u] for u in range(120)]
+    following = I.best_of(v, ids[near] + 2000, w[near] * 0.9, cells, best, scores, k)
+    expected = plain(list(enumerate(v)), [*zip(ids, w, strict=True), *zip(ids + 2000, w * 0.9, strict=True)], k)
+    assert [list(zip(*x, strict=True)) for x in zip(following[0], following[1], strict=True)] == list(expected.values())
+    if k == 3:
+        assert n_products < 0.7 * 120 * 2000 and following[2] < 0.3 * 120 * 2000
+
+
+def test_cells_of_equal_and_huge_items():
+    w = np.concatenate([np.ones((300, 2)), np.full((2, 2), 1e200), np.zeros((5, 2))])
+    near, cells = I.near_cells(w, 50)
+    ids = np.arange(len(w))
+    none = np.full((2, 4), -1), np.full((2, 4), -np.inf)
+    best, scores, _ = I.best_of(np.array([[1.0, 1.0], [0.0, 0.0]]), ids[near], w[near], cells, *none, 4)
+    assert best.tolist() == [[300, 301, 0, 1], [0, 1, 2, 3]] and scores[0].tolist() == [2e200, 2e200, 2.0, 2.0]
