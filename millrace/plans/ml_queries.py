@@ -208,8 +208,12 @@ def confident_texts(t: Tables) -> DataFrame:
 def _fitted(t: Tables):
     """A model of the training rows, and the test rows."""
     stored = materialise(plays(t), "plays")
-    rows = materialise(recommend.index_pairs(stored, "user_id", "item_id", "user", "item"), "indexed")
-    train, test = _halves(rows, ["user_id", "item_id"], "r2", 0.7)
+    indexed = recommend.index_pairs(stored, "user_id", "item_id", "user", "item")
+    # Hashed once; training rows are the most and go by their numbers alone.
+    dealt_out = indexed.withColumn("in_train", hash_below(["user_id", "item_id"], "r2", 0.7))
+    named = [F.when(~F.col("in_train"), F.col(c)).alias(c) for c in ("user_id", "item_id")]
+    rows = materialise(dealt_out.select(*named, "plays", "user", "item", "in_train"), "indexed")
+    train, test = rows.filter("in_train").select("user", "item", "plays"), rows.filter("NOT in_train").drop("in_train")
     return recommend.fit_als(train, "user", "item", "plays"), test
 
 

@@ -13,6 +13,8 @@ from millrace.operators import recommend as R
 from millrace.operators import series as S
 from millrace.operators import stats as Q
 from millrace.operators import textcount as W
+from millrace.plans import ml_queries
+from millrace.plans.registry import Tables
 
 
 def lines(spark, *texts):
@@ -173,3 +175,19 @@ def test_recommendation(spark):
     assert len(scored) == 5 and [(r["user"], r["item"]) for r in scored] == sorted((r["user"], r["item"]) for r in scored)
     top = R.recommend(model, 4).collect()
     assert len(top) == len(ids) and all(len(set(r["recommended"])) == 4 for r in top)
+
+
+def test_training_rows_are_written_by_numbers_alone(spark, monkeypatch):
+    """Ids are kept for the rows to be scored; what is fitted, and what is scored, is split by the hash of the ids as ever."""
+    written, fitted, write = {}, {}, ml_queries.materialise
+    monkeypatch.setattr(ml_queries, "materialise", lambda df, name: written.setdefault(name, write(df, name)))
+    monkeypatch.setattr(ml_queries.recommend, "fit_als", lambda df, *cols: fitted.setdefault(cols, df))
+    train, test = ml_queries._fitted(Tables(spark, "/root/testdata/sf0.001"))
+    assert list(fitted) == [("user", "item", "plays")] and train.columns == ["user", "item", "plays"]
+    stored = written["indexed"].where("in_train")
+    assert stored.count() > 0 and stored.where("user_id IS NOT NULL OR item_id IS NOT NULL").count() == 0
+    rows = R.index_pairs(written["plays"], "user_id", "item_id", "user", "item")
+    halves = ml_queries._halves(rows, ["user_id", "item_id"], "r2", 0.7)
+    for got, expected in zip((train, test), halves, strict=True):
+        expected = expected.select(got.columns)
+        assert got.count() == expected.count() > 0 and got.exceptAll(expected).isEmpty()
