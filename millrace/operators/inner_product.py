@@ -94,9 +94,10 @@ def item_blocks(factors: DataFrame, key: str, vector: str, first: int = FIRST, m
         lengths, ids = table["length"].to_numpy(), table["id"].to_numpy()
         order = np.lexsort((ids, -lengths))
         v = np.array(table["v"].combine_chunks().flatten(), float).reshape(len(ids), -1)[order]
-        near, cells = near_cells(v)
+        number = table["block"][0].as_py()
+        near, cells = near_cells(v, CELL if number else FIRST)  # no scores yet to leave out cells of the first
         row = {
-            "block": table["block"][0].as_py(), "top": lengths.max(), "n": len(ids),
+            "block": number, "top": lengths.max(), "n": len(ids),
             "items": ids[order][near].tobytes(), "vectors": v[near].tobytes(), "cells": cells.tobytes(),
         }
         kinds = [pa.int32(), pa.float64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
