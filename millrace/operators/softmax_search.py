@@ -11,15 +11,19 @@ limited-memory BFGS, kept to an orthant where a part of the penalty is L1.
 
 Rows are written once in blocks of one fold, which meet the models without that fold only. Elements of
 columns that many rows of a block have are held apart from the others: they meet the models in a matrix
-product. Weights stand relative to those of the first class, and so do what tasks sum.
+product. Weights stand relative to those of the first class, and so do what tasks sum. Models with an L1
+penalty meet only the columns that one of them has a weight for.
+
+What a task holds depends on models, words and classes: a block, the weights and their sums twice each, and
+the blocks of a small row group. There are as many tasks as cores at most, whose sums are added one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Generator, Iterator
 from dataclasses import dataclass
-from functools import partial
-from itertools import product
+from functools import cached_property, partial
+from itertools import groupby, product
 
 import numpy as np
 import pyarrow as pa
@@ -32,21 +36,43 @@ from millrace.operators.fold_search import ALL, Point, grouped_f1
 ROWS = 512  # of a block
 DENSE = 1 / 64  # of a block's rows that have a column of the matrix product
 PIECE = 1024  # elements of other columns that meet the models at once
-SLAB = 1 << 17  # sums in a row that tasks emit
+ELEMENTS = 1 << 20  # that are made into blocks at once, one row at least
+GROUP = 8 << 20  # bytes of blocks that are read at once
+SLAB = 1 << 15  # sums in a row that tasks emit
 HISTORY = 10  # steps that a model's curvature is taken from
 
-_PARTS = {
-    "folds": np.int32, "labels": np.int32, "columns": np.int32, "places": np.int64, "counts": np.float64,
-    "other_rows": np.int32, "other_columns": np.int32, "other_values": np.float64, "by_column": np.int32,
-}
+_PARTS = {"folds": np.int32, "labels": np.int32, "found": np.int32, "n": np.uint16, "rows": np.uint16, "values": None}
 _BLOCK = pa.schema([(name, pa.binary()) for name in _PARTS])
 _SUMS = pa.schema([("slab", pa.int32()), ("sums", pa.binary())])
 _TOLD = pa.schema([("fold", pa.int32()), ("point", pa.int32()), ("label", pa.int32()), ("prediction", pa.int32()), ("n", pa.int64())])
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """In a byte or two each if they are whole numbers that fit, else as they are."""
+    for kind in (np.uint8, np.uint16):
+        if len(values) and 0 <= values.min() and values.max() <= np.iinfo(kind).max and (values == np.floor(values)).all():
+            return values.astype(kind).tobytes()
+    return values.tobytes()
+
+
+def _unpacked(packed, n: int) -> np.ndarray:
+    width = len(packed) // max(n, 1)
+    return np.frombuffer(packed, {1: np.uint8, 2: np.uint16}.get(width, float)).astype(float)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, elements: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose lists in ``column`` have about as many elements, one row at least."""
+    for batch in batches:
+        starts, low = batch.column(column).offsets.to_numpy(), 0
+        while low < batch.num_rows:
+            high = max(low + 1, int(np.searchsorted(starts, starts[low] + elements, "right")) - 1)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(fold, label, indices, values) -> blocks of one fold, and of one label where there are enough rows."""
-    for batch in batches:
+    for batch in slices(batches, 2, ELEMENTS):
         folds, labels = (batch.column(c).to_numpy().astype(np.int32) for c in (0, 1))
         order = np.lexsort((labels, folds))
         starts = np.flatnonzero(np.diff(folds[order], prepend=folds.min(initial=0) - 1))
@@ -57,63 +83,76 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.repeat(np.arange(len(at)), np.diff(lists.offsets.to_numpy()))
             has = values != 0
             columns, values, rows = columns[has], values[has], rows[has]
-            found, place, n = np.unique(columns, return_inverse=True, return_counts=True)
-            often = n >= DENSE * len(at)
-            inside = often[place]
-            head = (np.cumsum(often) - 1)[place[inside]]
-            others = columns[~inside]
-            row = {
-                "folds": folds[at[:1]], "labels": labels[at], "columns": found[often],
-                "places": rows[inside] * often.sum() + head, "counts": values[inside],
-                "other_rows": rows[~inside], "other_columns": others, "other_values": values[~inside],
-                "by_column": np.argsort(others, kind="stable"),
-            }
-            yield pa.RecordBatch.from_pylist([{k: v.astype(_PARTS[k]).tobytes() for k, v in row.items()}], _BLOCK)
+            order = np.argsort(columns, kind="stable")
+            found, n = np.unique(columns, return_counts=True)
+            row = {"folds": folds[at[:1]], "labels": labels[at], "found": found, "n": n, "rows": rows[order], "values": values[order]}
+            yield pa.RecordBatch.from_pylist([{k: v.astype(_PARTS[k]).tobytes() if _PARTS[k] else _packed(v) for k, v in row.items()}], _BLOCK)
 
 
 def blocks(df: DataFrame, label: str = "label", features: str = "features", fold: str = "_fold") -> DataFrame:
-    """The rows in written blocks; those without a label, features or fold are left out."""
+    """The rows in written blocks, read by no more tasks than there are cores; those without a label, features or fold are left out."""
     v = F.unwrap_udt(features)
     every = F.sequence(F.lit(0), F.size(v["values"]) - 1)
     columns = F.when(v["type"] == 0, v["indices"]).when(F.size(v["values"]) > 0, every).otherwise(F.array().cast("array<int>"))
     rows = df.where(F.col(label).isNotNull() & F.col(features).isNotNull() & F.col(fold).isNotNull())
     rows = rows.select(F.col(fold).cast("int"), F.col(label).cast("int"), columns.alias("columns"), v["values"].alias("values"))
-    return materialise(rows.mapInArrow(_blocks, ", ".join(f"{name} binary" for name in _PARTS)), "blocks")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores and (tasks := min(cores, rows.count() // ROWS)) > rows.rdd.getNumPartitions():
+        rows = rows.repartition(tasks, F.xxhash64("fold", "label", "columns", "values"))
+    return materialise(rows.mapInArrow(_blocks, ", ".join(f"{name} binary" for name in _PARTS)), "blocks", GROUP).coalesce(cores)
 
 
 class _Block:
     def __init__(self, row: dict):
         for name, kind in _PARTS.items():
-            setattr(self, name, np.frombuffer(row[name], kind))
+            if kind:
+                setattr(self, name, np.frombuffer(row[name], kind))
+        self.values = _unpacked(row["values"], len(self.rows))
         self.fold = int(self.folds[0])
-        self.matrix = np.zeros((len(self.labels), len(self.columns)))
-        self.matrix.ravel()[self.places] = self.counts
+        often = self.n >= DENSE * len(self.labels)
+        self.columns, self.inside = self.found[often], np.repeat(often, self.n)
+        self.of_columns = self.n[often]
+        others = ~self.inside
+        self.by_column = np.repeat(self.found[~often], self.n[~often]), self.rows[others], self.values[others]
+        order = np.argsort(self.by_column[1], kind="stable")
+        self.other_columns, self.other_rows, self.other_values = (part[order] for part in self.by_column)
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        out = np.zeros((len(self.labels), len(self.columns)))
+        out[self.rows[self.inside], np.repeat(np.arange(len(self.columns)), self.of_columns)] = self.values[self.inside]
+        return out
 
     def _others(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, source: np.ndarray, out: np.ndarray) -> None:
         """Add to each row of ``out`` the rows of ``source`` that its elements name; elements of a row stand together."""
         for low in range(0, len(rows), PIECE):
             own = rows[low : low + PIECE]
-            starts = np.flatnonzero(np.diff(own, prepend=-1))
+            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             met = source[columns[low : low + PIECE]] * values[low : low + PIECE, None]
             out[own[starts]] += np.add.reduceat(met, starts)
 
-    def times(self, weights: np.ndarray) -> np.ndarray:
-        """rows x features times features x models"""
-        out = self.matrix @ weights[self.columns]
-        self._others(self.other_rows, self.other_columns, self.other_values, weights, out)
+    def times(self, weights: np.ndarray, used: np.ndarray | None = None) -> np.ndarray:
+        """rows x features times features x models; ``used``: which features have a weight."""
+        if used is None:
+            out = self.matrix @ weights[self.columns]
+            self._others(self.other_rows, self.other_columns, self.other_values, weights, out)
+            return out
+        own, others = np.flatnonzero(used[self.columns]), np.flatnonzero(used[self.other_columns])
+        out = self.matrix[:, own] @ weights[self.columns[own]]
+        self._others(self.other_rows[others], self.other_columns[others], self.other_values[others], weights, out)
         return out
 
     def add_to(self, out: np.ndarray, of_rows: np.ndarray) -> None:
         """Add features x rows times rows x models."""
         out[self.columns] += self.matrix.T @ of_rows
-        o = self.by_column
-        self._others(self.other_columns[o], self.other_rows[o], self.other_values[o], of_rows, out)
+        columns, rows, values = self.by_column
+        self._others(columns, rows, values, of_rows, out)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _Block(batch.slice(i, 1).to_pylist()[0])
+            yield _Block({name: batch.column(k)[i].as_buffer() for k, name in enumerate(_PARTS)})
 
 
 def _emit(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -121,11 +160,14 @@ def _emit(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([{"slab": slab, "sums": sums.ravel()[low : low + SLAB].tobytes()}], _SUMS)
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = 0.0
-    for sums in table["sums"]:
-        total = total + np.frombuffer(sums.as_buffer())
-    return pa.Table.from_pylist([{"slab": table["slab"][0].as_py(), "sums": total.tobytes()}], _SUMS)
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a slab, added as they come."""
+    total, slab = 0.0, 0
+    for batch in batches:
+        slab = batch.column(0)[0].as_py()
+        for sums in batch.column(1):
+            total = total + np.frombuffer(sums.as_buffer())
+    yield pa.RecordBatch.from_pylist([{"slab": slab, "sums": total.tobytes()}], _SUMS)
 
 
 def _summed(table: DataFrame, function) -> np.ndarray:
@@ -139,10 +181,9 @@ def _moments(batches: Iterator[pa.RecordBatch], folds: int, n_features: int, n_c
     """For each fold the sum and sum of squares of each feature, and the rows of each class."""
     sums = np.zeros((folds, 2 * n_features + n_classes))
     for b in _read(batches):
-        columns = np.concatenate([b.columns[b.places % max(len(b.columns), 1)], b.other_columns])
-        values = np.concatenate([b.counts, b.other_values])
-        np.add.at(sums[b.fold], columns, values)
-        np.add.at(sums[b.fold], columns + n_features, values * values)
+        columns = np.repeat(b.found, b.n)
+        np.add.at(sums[b.fold], columns, b.values)
+        np.add.at(sums[b.fold], columns + n_features, b.values * b.values)
         np.add.at(sums[b.fold], b.labels + 2 * n_features, 1.0)
     return _emit(sums)
 
@@ -173,40 +214,70 @@ def _side_by_side(models: list[Softmax]) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate(parts, axis=-1) for parts in zip(*(m.plain() for m in models), strict=True))
 
 
-def _margins(b: _Block, weights: np.ndarray, intercepts: np.ndarray, n_classes: int) -> np.ndarray:
+def _margins(b: _Block, weights: np.ndarray, intercepts: np.ndarray, n_classes: int, used: np.ndarray | None = None) -> np.ndarray:
     """rows x models x classes"""
-    m = (b.times(weights) + intercepts).reshape(len(b.labels), -1, n_classes - 1)
+    m = (b.times(weights, used) + intercepts).reshape(len(b.labels), -1, n_classes - 1)
     return np.concatenate([np.zeros((*m.shape[:2], 1)), m], axis=2)
 
 
-def _slopes(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """Per model the gradient in the weights and intercepts, and the loss, over the rows of the other folds."""
-    folds, weights, intercepts, n_classes = model.value
-    d, width = weights.shape
-    total = np.zeros((d + 2, width))
-    parts: dict[int, tuple[np.ndarray, ...]] = {}  # for each fold the places of the models without it, and their sums
-    for b in _read(batches):
-        if b.fold not in parts:
-            at = np.flatnonzero(np.repeat(folds != b.fold, n_classes - 1))
-            parts[b.fold] = at, weights[:, at], intercepts[at], np.zeros((d + 2, len(at)))
-        at, w, i, sums = parts[b.fold]
-        if not len(at):
-            continue
-        m = _margins(b, w, i, n_classes)
-        own = np.take_along_axis(m, b.labels[:, None, None], axis=2)[:, :, 0]
+@dataclass
+class _Open:
+    """Models that rows meet together, those without one fold next to each other: their folds, weights and intercepts.
+
+    Weights and sums stand twice side by side, so that the models of all folds but one are neighbours, too.
+    """
+
+    folds: np.ndarray
+    weights: np.ndarray
+    intercepts: np.ndarray
+    n_classes: int
+
+    def __post_init__(self):
+        used = (self.weights != 0).any(axis=1)
+        self.used = used if used.mean() < 0.5 else None
+        self.weights = np.concatenate([self.weights] * 2, axis=1)
+        self.intercepts = np.concatenate([self.intercepts] * 2)
+        self.sums = np.zeros((len(self.weights) + 1, self.weights.shape[1]))
+        self.loss = np.zeros(len(self.folds))
+
+    def meet(self, b: _Block) -> None:
+        own = np.flatnonzero(self.folds == b.fold)
+        first, n = (int(own[-1]) + 1, len(self.folds) - len(own)) if len(own) else (0, len(self.folds))
+        if not n:
+            return
+        k = self.n_classes - 1
+        at = slice(first * k, (first + n) * k)
+        m = _margins(b, self.weights[:, at], self.intercepts[at], self.n_classes, self.used)
+        said = np.take_along_axis(m, b.labels[:, None, None], axis=2)[:, :, 0]
         top = m.max(axis=2)
         np.exp(m - top[:, :, None], out=m)
         norm = m.sum(axis=2)
-        sums[d + 1, : m.shape[1]] += (np.log(norm) + top - own).sum(axis=0)
+        self.loss[np.arange(first, first + n) % len(self.folds)] += (np.log(norm) + top - said).sum(axis=0)
         m /= norm[:, :, None]
         m[np.arange(len(m)), :, b.labels] -= 1.0
         off = m[:, :, 1:].reshape(len(m), -1)
-        b.add_to(sums[:d], off)
-        sums[d] += off.sum(axis=0)
-    for fold, (at, _, _, sums) in parts.items():
-        total[: d + 1, at] += sums[: d + 1]
-        seen = np.flatnonzero(folds != fold)
-        total[d + 1, seen] += sums[d + 1, : len(seen)]
+        b.add_to(self.sums[:-1, at], off)
+        self.sums[-1, at] += off.sum(axis=0)
+
+    def total(self) -> np.ndarray:
+        width = len(self.folds) * (self.n_classes - 1)
+        out = np.zeros((len(self.sums) + 1, width))
+        out[:-1] = self.sums[:, :width] + self.sums[:, width:]
+        out[-1, : len(self.folds)] = self.loss
+        return out
+
+
+def _slopes(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """Per model the gradient in the weights and intercepts, and the loss, over the rows of the other folds."""
+    groups, n_classes = model.value
+    groups = [_Open(*group, n_classes) for group in groups]
+    for b in _read(batches):
+        for group in groups:
+            group.meet(b)
+    total = np.concatenate([group.total() for group in groups], axis=1)
+    losses = np.concatenate([group.loss for group in groups])
+    total[-1] = 0.0
+    total[-1, : len(losses)] = losses
     return _emit(total)
 
 
@@ -384,15 +455,16 @@ def fit_softmax(
         own = moments.sum(axis=0) - (moments[fold] if fold != ALL else 0.0)
         if own[2 * n_features :].sum() > 0:
             models += [_started(fold, point, own, n_features, max_iter, tol) for point in points]
-    open_ = [m for m in models if m.steps]
+    open_ = sorted((m for m in models if m.steps), key=lambda m: m.point.reg * m.point.elastic > 0)
     for m in open_:
         next(m.steps)  # where the weights are
     while open_:
-        weights, intercepts = _side_by_side(open_)
-        sent = spark.sparkContext.broadcast((np.array([m.fold for m in open_]), weights, intercepts, n_classes))
+        groups = [list(group) for _, group in groupby(open_, key=lambda m: m.point.reg * m.point.elastic > 0)]
+        told = [(np.array([m.fold for m in group]), *_side_by_side(group)) for group in groups]
+        sent = spark.sparkContext.broadcast((told, n_classes))
         sums = _summed(table, partial(_slopes, model=sent)).reshape(n_features + 2, -1)
         sent.destroy()
-        left, width = [], weights.shape[1] // len(open_)
+        left, width = [], n_classes - 1
         for k, m in enumerate(open_):
             s = sums[:, k * width : (k + 1) * width] / m.rows
             ridge, w = m.point.reg * (1 - m.point.elastic), m.weights[:-1]

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.lineage import materialise
 from millrace.operators.fold_search import ALL, grouped_f1
+from millrace.operators.softmax_search import slices
 
 ROWS = 1024  # of a block
 GRID = 1 << 24  # bins of a block as a full matrix, one row at least
@@ -66,13 +67,7 @@ def _elements(df: DataFrame, key: str, fold, seed: int) -> DataFrame:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of about ``HELD`` elements, one row at least."""
-    for batch in batches:
-        starts, low = batch.column(3).offsets.to_numpy(), 0
-        while low < batch.num_rows:
-            high = max(low + 1, int(np.searchsorted(starts, starts[low] + HELD, "right")) - 1)
-            yield batch.slice(low, high - low)
-            low = high
+    return slices(batches, 3, HELD)
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -96,3 +97,32 @@ def test_sums_do_not_depend_on_blocks_and_pieces(spark, monkeypatch):
     for p in parts:
         p.add_to(total, np.stack([p.labels + 1.0, np.full(len(p.labels), p.fold)], axis=1))
     assert total == pytest.approx(vectors.T @ of_rows)
+
+
+def test_blocks_are_read_a_row_group_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP", 1)
+    table = S.blocks(counts(spark, 300, 3).repartition(11))
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in table.inputFiles()]
+    assert sum(m.num_rows for m in files) == sum(m.num_row_groups for m in files) >= 9  # each holds one row
+    assert table.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sum(len(row.labels) // 4 for row in table.collect()) == 300
+
+
+def test_sums_are_added_as_they_come():
+    batches = (b for v in range(1, 5) for b in S._emit(np.arange(5.0) * v))
+    assert np.frombuffer(next(S._add(batches)).column(1)[0].as_py()).tolist() == [0, 10, 20, 30, 40]
+
+
+def test_values_are_packed_exactly():
+    for values in ([1, 255], [0, 256, 65535], [65536], [-1, 2], [0.5], []):
+        wanted = np.array(values, float)
+        assert S._unpacked(S._packed(wanted), len(values)).tolist() == values
+    assert [len(S._packed(np.array(v, float))) for v in ([3, 4], [3, 400], [3, 4.5])] == [2, 4, 16]
+
+
+def test_models_meet_the_columns_they_use(spark):
+    df = counts(spark, 300, 3).coalesce(1)
+    parts = [b for b in S._read(iter(S.blocks(df).toArrow().combine_chunks().to_batches()))]
+    weights = np.random.default_rng(0).normal(size=(WORDS, 4)) * (np.arange(WORDS)[:, None] % 5 == 0)
+    for b in parts:
+        assert b.times(weights, (weights != 0).any(axis=1)) == pytest.approx(b.times(weights), abs=1e-12)
