@@ -98,7 +98,7 @@ def blocks(df: DataFrame, label: str = "label", features: str = "features", fold
     rows = rows.select(F.col(fold).cast("int"), F.col(label).cast("int"), columns.alias("columns"), v["values"].alias("values"))
     cores = df.sparkSession.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < cores and (tasks := min(cores, rows.count() // ROWS)) > rows.rdd.getNumPartitions():
-        rows = rows.repartition(tasks, F.xxhash64("fold", "label", "columns", "values"))
+        rows = rows.repartition(tasks, F.xxhash64(*rows.columns))
     return materialise(rows.mapInArrow(_blocks, ", ".join(f"{name} binary" for name in _PARTS)), "blocks", GROUP).coalesce(cores)
 
 

@@ -126,3 +126,10 @@ def test_models_meet_the_columns_they_use(spark):
     weights = np.random.default_rng(0).normal(size=(WORDS, 4)) * (np.arange(WORDS)[:, None] % 5 == 0)
     for b in parts:
         assert b.times(weights, (weights != 0).any(axis=1)) == pytest.approx(b.times(weights), abs=1e-12)
+
+
+def test_rows_of_one_task_are_dealt_out(spark, monkeypatch):
+    df = counts(spark, 300, 3).coalesce(1)
+    monkeypatch.setattr(S, "ROWS", 60)
+    table = S.blocks(df)
+    assert len(table.inputFiles()) > 1 and sum(len(row.labels) // 4 for row in table.collect()) == 300
