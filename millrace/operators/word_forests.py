@@ -8,7 +8,7 @@ get the elements that are not zero, and zeros are what is left of the node's row
 A tree is grown as Spark's are: splits by Gini impurity at 32 bins or fewer, whose bounds are Spark's
 for the values of the training set (of all its rows, no sample), a random subset of features at each
 node, rows drawn with replacement. Draws hang on the seed, tree, node and row alone, not on how the
-rows are dealt to tasks.
+rows are dealt to tasks; equal rows of one key are drawn together.
 
 Rows are written once in blocks of one fold, as the bins of their elements by column. Tasks sum as
 many histograms at once as ``CELLS`` allows and send them by tree; the best splits are found where
